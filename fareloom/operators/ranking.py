@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fareloom.functions.numbers import exact_sum, safe_divide
+
 # Bounds of a served result, and the words that mark a metric column.
 MAX_ROWS_DEFAULT = 100
 MAX_ROWS_LIMIT = 1000
@@ -60,20 +62,13 @@ def key_finding(result: DataFrame, context: int = 3) -> DataFrame:
 
 def share_of_total(grouped: DataFrame, value: str, name: str = "share_pct", digits: int = 2) -> DataFrame:
     """Percentage of the grand total. ``grouped`` holds one row per label, so the total is cheap."""
-    share = F.try_divide(F.col(value) * F.lit(100.0), F.col("_total"))
-    totals = grouped.agg(F.sum(value).alias("_total"))
-    return _with_scalar(grouped, totals).withColumn(name, F.round(share, digits)).drop("_total")
-
-
-def _with_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a one-row result to every row."""
-    return df.withColumn("_one", F.lit(1)).join(one_row.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    grand_total = grouped.agg(F.sum(value)).scalar()
+    share = F.try_divide(F.col(value) * F.lit(100.0), grand_total)
+    return grouped.select("*", F.round(share, digits).alias(name))
 
 
 def weighted_mean(value: Column, weight: Column, scale: int) -> Column:
     """Sum of value x weight over the sum of weights, NULL when the weights sum to zero."""
-    from fareloom.functions.numbers import exact_sum, safe_divide
-
     return safe_divide(exact_sum(value * weight, scale), F.sum(weight))
 
 

@@ -270,9 +270,8 @@ def insight_shares(wh: Warehouse, window: Window = None) -> DataFrame:
 
 def distance_median_mean(wh: Warehouse, window: Window = None) -> DataFrame:
     fact = narrowed(wh.fact_trips, window)
-    middle = exact_median(fact, "trip_distance", "median_distance").withColumn("_one", F.lit(1))
-    average = fact.agg(exact_mean(F.col("trip_distance")).alias("mean_distance")).withColumn("_one", F.lit(1))
-    return middle.join(average, "_one").drop("_one")
+    average = fact.agg(exact_mean(F.col("trip_distance"))).scalar()
+    return exact_median(fact, "trip_distance", "median_distance").select("*", average.alias("mean_distance"))
 
 
 def derived_calendar(wh: Warehouse, *columns: str, window: Window = None) -> DataFrame:
