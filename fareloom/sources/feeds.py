@@ -140,9 +140,8 @@ def unify_feeds(bronze: dict[FeedSpec, DataFrame]) -> DataFrame:
 
 def service_labels(spark: SparkSession, feeds: tuple[FeedSpec, ...] = FEEDS) -> DataFrame:
     """Inline relation of service codes and names."""
-    return spark.createDataFrame(
-        [(f.service_type, f.label) for f in feeds], "service_type string, service_type_name string"
-    )
+    rows = ", ".join(f"('{f.service_type}', '{f.label}')" for f in feeds)
+    return spark.sql(f"select * from values {rows} as v(service_type, service_type_name)")
 
 
 ZONE_CSV_SCHEMA = "LocationID string, Borough string, Zone string, service_zone string"
