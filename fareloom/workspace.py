@@ -68,7 +68,7 @@ def materialize(
         return df
     path = scratch_path(spark, name)
     write_table(df, path, partition_by, sort_by)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 def write_table(

@@ -68,7 +68,8 @@ def _document_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = logs.run_documents(spark, sf_dir)
     run_id = F.concat(F.lit("run-"), F.col("event_id").cast("string"))
     checked = quality.validate_summaries(docs, "doc", run_id, F.lit("monthly"))
-    return checked.select(F.explode("failures").alias("failure")).groupBy("failure").agg(F.count("*").alias("documents"))
+    listed = checked.select(F.explode_outer("failures").alias("failure")).where(F.col("failure").isNotNull())
+    return listed.groupBy("failure").agg(F.count("*").alias("documents"))
 
 
 def quality_queries() -> dict[str, Query]:
@@ -129,7 +130,7 @@ def metric_queries() -> dict[str, Query]:
         "policy_scan": lambda s, d: _scanned(s, d).select("event_id", "category", "should_block", "blocked"),
         "block_rates": lambda s, d: metrics.block_rates(_scanned(s, d)),
         "block_reasons": lambda s, d: metrics.reason_histogram(
-            _scanned(s, d).select(F.explode("reasons").alias("reason"), "sql"), "reason", "sql"
+            _scanned(s, d).select(F.explode_outer("reasons").alias("reason"), "sql").where("reason is not null"), "reason", "sql"
         ),
         "case_evaluation": _case_evaluation,
         "audit_round_trip": _audit_round_trip,
