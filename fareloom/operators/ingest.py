@@ -66,13 +66,19 @@ def file_fingerprints(spark: SparkSession, root: str) -> DataFrame:
     """Fingerprints of the files under a folder, spread over the cluster by path.
 
     Contents are read inside the tasks a megabyte at a time, so a file may be larger than a task's
-    memory; only paths go through the shuffle.
+    memory; only paths go through the shuffle. Spark's file listing leaves empty files out, so an
+    empty file has no fingerprint and ``refused_files`` reports it.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
     hashed = files.select("path").repartition("path").mapInPandas(_hash_files, "path string, file_size_bytes long, sha256 string")
     return hashed.withColumn("accepted", F.col("file_size_bytes") > 0)
 
 
+def refused_files(expected: DataFrame, prints: DataFrame, path: str = "path") -> DataFrame:
+    """Expected files that are missing or empty."""
+    return expected.join(prints.where("accepted").select(path), path, "left_anti")
+
+
 def _hash_files(batches):
     import hashlib
 
