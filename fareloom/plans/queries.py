@@ -5,13 +5,14 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as RowWindow
 from pyspark.sql import functions as F
 
 from fareloom.functions.dates import DateWindow, between_days, year_month
-from fareloom.functions.numbers import MEAN, exact_mean, exact_sum
+from fareloom.functions.numbers import MEAN, exact_mean, exact_sum, from_units, units
 from fareloom.operators.ranking import rank_metric, share_of_total, top_n, weighted_mean
 from fareloom.operators.selection import exact_median
-from fareloom.operators.star import Lookup, Measure, count, mean, star_rollup, total
+from fareloom.operators.star import Lookup, count, mean, star_rollup, total
 from fareloom.plans.warehouse import Warehouse
 
 Window = DateWindow | None
@@ -243,29 +244,33 @@ def payment_summary_serving(wh: Warehouse, window: Window = None) -> DataFrame:
 def insight_shares(wh: Warehouse, window: Window = None) -> DataFrame:
     """Share of trips by pickup borough, service zone and payment label, and revenue of airport zones.
 
-    One pass over the fact: it is reduced to zone and payment keys, and every share is read off that.
+    The fact is reduced to its zone and payment keys once. Each of those few rows then counts
+    under every insight it has a dimension row for.
     """
-    keyed = star_rollup(narrowed(wh.fact_trips, window), [TRIPS, REVENUE], (), ["pickup_zone_id", "payment_type"])
-    zone = _zone(wh, "pickup", {"group_name": "borough"})
-    service_zone = _zone(wh, "pickup", {"group_name": "service_zone"})
-    airport = _zone(wh, "pickup", {"group_name": "zone_name"}, F.col("service_zone") == "Airports")
-    payment = Lookup(wh.dim_payment_type, "payment_type", "payment_type", {"group_name": "payment_type_name"})
-    trips = Measure("trips", "sum", "trip_count", 0)
-    revenue = total("revenue", "total_amount")
-    parts = None
-    for insight, lookup in (
-        ("pickup_borough", zone),
-        ("service_zone", service_zone),
-        ("payment_type", payment),
-        ("airport_revenue", airport),
-    ):
-        grouped = star_rollup(keyed, [trips, revenue], [lookup])
-        grouped = grouped.withColumn("trips", F.col("trips").cast("long"))
-        part = share_of_total(grouped, "trips").select(
-            F.lit(insight).alias("insight"), "group_name", "trips", "share_pct", "revenue"
+    keyed = narrowed(wh.fact_trips, window).groupBy("pickup_zone_id", "payment_type").agg(
+        F.count("*").alias("n"), F.sum(units(F.col("total_amount"))).alias("cents")
+    )
+    zones = wh.dim_zone.select(F.col("zone_id").alias("pickup_zone_id"), "borough", "zone_name", "service_zone", F.lit(True).alias("has_zone"))
+    payments = wh.dim_payment_type.withColumn("has_payment", F.lit(True))
+    labelled = keyed.join(zones, "pickup_zone_id", "left").join(payments, "payment_type", "left")
+
+    def entry(insight: str, label: str, counts: Column) -> Column:
+        return F.when(counts, F.struct(F.lit(insight).alias("insight"), F.col(label).alias("group_name")))
+
+    entries = F.array_compact(
+        F.array(
+            entry("pickup_borough", "borough", F.col("has_zone")),
+            entry("service_zone", "service_zone", F.col("has_zone")),
+            entry("payment_type", "payment_type_name", F.col("has_payment")),
+            entry("airport_revenue", "zone_name", F.col("service_zone") == "Airports"),
         )
-        parts = part if parts is None else parts.unionByName(part)
-    return parts
+    )
+    grouped = labelled.select("n", "cents", F.inline(entries)).groupBy("insight", "group_name").agg(
+        F.sum("n").alias("trips"), from_units(F.sum("cents")).alias("revenue")
+    )
+    # One row per label by now, so the window holds no more rows than the dimension has labels.
+    all_trips = F.sum("trips").over(RowWindow.partitionBy("insight"))
+    return grouped.withColumn("share_pct", F.round(F.try_divide(F.col("trips") * 100.0, all_trips), 2))
 
 
 def distance_median_mean(wh: Warehouse, window: Window = None) -> DataFrame:
