@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 
 
 def event_date(ts: Column) -> Column:
-    return F.to_date(F.date_trunc("day", ts))
+    return F.to_date(ts)
+
+
+def epoch_micros(ts: Column) -> Column:
+    """Microseconds since 1970 on the clock a zoneless timestamp shows, in any session time zone."""
+    seconds = (F.unix_date(F.to_date(ts)).cast("long") * 24 + F.hour(ts)) * 3600 + F.minute(ts) * 60
+    return seconds * 1000000 + (F.date_part(F.lit("SECOND"), ts) * 1000000).cast("long")
 
 
 def month_start(year: Column, month: Column) -> Column:

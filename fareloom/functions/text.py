@@ -29,23 +29,39 @@ def _folding_tables() -> tuple[str, str, dict[str, str]]:
 
 def fold_text(col: Column) -> Column:
     """Lower-case ASCII form of a text: Vietnamese d, then compatibility folding, then trim."""
+    ascii_text = F.when(_is_ascii(col), col).otherwise(_with(col, _to_ascii))
+    return F.lower(F.trim(ascii_text, F.lit(_ASCII_SPACES)))
+
+
+def _to_ascii(col: Column) -> Column:
     one_from, one_to, many = _folding_tables()
-    # The letter d with stroke, and the two ways it reads after a wrong decoding.
-    text = F.translate(col, "đĐ", "dD")
-    text = F.replace(text, F.lit("Ä‘"), F.lit("d"))
+    # The two ways the letter d with stroke reads after a wrong decoding, and the letter.
+    text = F.replace(col, F.lit("Ä‘"), F.lit("d"))
     text = F.replace(text, F.lit("Ä\u0090"), F.lit("D"))
-    text = F.translate(text, one_from, one_to)
-    # What is still outside ASCII is rare: expand ligatures and fractions, drop the rest.
-    expanded = F.array_join(
-        F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(_literal_map(many), c), c)), ""
-    )
-    rest = F.when(text.rlike(_any_of(many)), expanded).otherwise(text)
-    cleaned = F.when(text.rlike(_NOT_ASCII), F.regexp_replace(rest, _NOT_ASCII, "")).otherwise(text)
-    return F.lower(F.trim(cleaned, F.lit(_ASCII_SPACES)))
+    text = F.translate(text, "đĐ" + one_from, "dD" + one_to)
+
+    def drop_rest(t: Column) -> Column:
+        # What is still outside ASCII is rare: expand ligatures and fractions, drop the rest.
+        expanded = F.array_join(
+            F.transform(F.split(t, ""), lambda c: F.coalesce(F.try_element_at(_literal_map(many), c), c)), ""
+        )
+        cleaned = F.regexp_replace(F.when(t.rlike(_any_of(many)), expanded).otherwise(t), r"[^\x00-\x7F]", "")
+        return F.when(_is_ascii(t), t).otherwise(cleaned)
+
+    return _with(text, drop_rest)
+
+
+def _is_ascii(col: Column) -> Column:
+    """One byte per character; far cheaper than looking at the characters."""
+    return F.octet_length(col) == F.char_length(col)
+
+
+def _with(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 _ASCII_SPACES = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
-_NOT_ASCII = r"[^\x00-\x7F]"
 
 
 def _literal_map(pairs: dict[str, str]) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fareloom.functions.dates import epoch_micros
 from fareloom.functions.numbers import exact_mean, safe_divide
 from fareloom.operators.ranking import top_n
 from fareloom.operators.selection import MEDIAN_HIGH, MEDIAN_LOW, exact_percentiles, nearest_rank, rounded_rank
@@ -69,7 +70,7 @@ def throughput(log: DataFrame, level: str, started: str, elapsed: str) -> DataFr
 
     ``started`` is a zoneless timestamp and ``elapsed`` is in milliseconds.
     """
-    start_us = F.unix_micros(F.col(started).cast("timestamp"))
+    start_us = epoch_micros(F.col(started))
     end_us = start_us + F.rint(F.col(elapsed) * 1000).cast("long")
     seconds = (F.max(end_us) - F.min(start_us)) / F.lit(1e6)
     totals = log.groupBy(level).agg(

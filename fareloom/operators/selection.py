@@ -43,20 +43,16 @@ def exact_percentiles(
     digit_names = [f"_d{i}" for i in range(steps)]
     counted = counted.select(*groups, "_v", "_n", *digits)
 
-    sizes = counted.groupBy(*groups).agg(F.sum("_n").alias("n"))
-    wanted = sizes.select(
-        *groups,
-        F.inline(F.array(*[F.struct(F.lit(k).alias("_name"), F.expr(e).cast("long").alias("_rank")) for k, e in ranks.items()])),
+    asked = F.array(
+        *[F.struct(F.lit(k).alias("_name"), F.expr(e).cast("long").alias("_rank")) for k, e in ranks.items()]
     )
-    for i in range(steps):
+    first = _counted_below(counted, groups, [], digit_names[0])
+    first = first.withColumn("n", F.sum("_n").over(Window.partitionBy(*groups))).select("*", F.inline(asked))
+    wanted = _holding(first)
+    for i in range(1, steps):
         prefix = digit_names[:i]
-        level = counted.groupBy(*groups, *prefix, digit_names[i]).agg(F.sum("_n").alias("_n"))
-        below = Window.partitionBy(*groups, *prefix).orderBy(digit_names[i]).rowsBetween(Window.unboundedPreceding, -1)
-        level = level.withColumn("_before", F.coalesce(F.sum("_n").over(below), F.lit(0)))
-        keys = [*groups, *prefix]
-        matched = _join_nulls(wanted, level, keys)
-        wanted = matched.where((F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_before") + F.col("_n")))
-        wanted = wanted.withColumn("_rank", F.col("_rank") - F.col("_before")).drop("_before", "_n")
+        level = _counted_below(counted, groups, prefix, digit_names[i])
+        wanted = _holding(_join_nulls(wanted.drop("n"), level, [*groups, *prefix]))
     found = F.col(digit_names[0])
     for name in digit_names[1:]:
         found = F.shiftleft(found, DIGIT_BITS).bitwiseOR(F.col(name))
@@ -66,10 +62,21 @@ def exact_percentiles(
     )
 
 
+def _counted_below(counted: DataFrame, groups: list[str], prefix: list[str], digit: str) -> DataFrame:
+    """Rows per digit under a prefix, and how many rows have a smaller digit there."""
+    level = counted.groupBy(*groups, *prefix, digit).agg(F.sum("_n").alias("_n"))
+    below = Window.partitionBy(*groups, *prefix).orderBy(digit).rowsBetween(Window.unboundedPreceding, -1)
+    return level.withColumn("_before", F.coalesce(F.sum("_n").over(below), F.lit(0)))
+
+
+def _holding(candidates: DataFrame) -> DataFrame:
+    """The digits a wanted rank falls under, with the rank counted from the digit's first row."""
+    kept = candidates.where((F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_before") + F.col("_n")))
+    return kept.withColumn("_rank", F.col("_rank") - F.col("_before")).drop("_before", "_n")
+
+
 def _join_nulls(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Equi-join in which NULL keys match each other; with no keys the left side is a few rows."""
-    if not keys:
-        return left.withColumn("_one", F.lit(1)).join(right.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    """Equi-join in which NULL keys match each other."""
     renamed = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
     condition = None
     for k in keys:

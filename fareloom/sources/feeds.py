@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections import defaultdict
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,10 +84,13 @@ def scan_feed(spark: SparkSession, root: str, spec: FeedSpec) -> DataFrame:
     ``year`` and ``month`` come from the directory names.
     """
     base = f"{root.rstrip('/')}/{spec.service_type}"
-    months = sorted({path.rsplit("/", 1)[0] for path in spark.read.parquet(base).inputFiles()})
+    months: dict[str, list[str]] = defaultdict(list)
+    for path in spark.read.parquet(base).inputFiles():
+        months[path.rsplit("/", 1)[0]].append(path)
     by_schema: dict[str, list[str]] = defaultdict(list)
-    for month in months:
-        by_schema[spark.read.option("mergeSchema", "true").parquet(month).schema.json()].append(month)
+    for month in sorted(months):
+        for schema, paths in _schemas(spark, month, months[month]).items():
+            by_schema[schema] += paths
     merged = None
     for paths in by_schema.values():
         part = spark.read.option("basePath", base).option("mergeSchema", "true").parquet(*paths)
@@ -94,6 +99,19 @@ def scan_feed(spark: SparkSession, root: str, spec: FeedSpec) -> DataFrame:
     return bronze_feed(merged, spec)
 
 
+def _schemas(spark: SparkSession, month: str, files: list[str]) -> dict[str, list[str]]:
+    """The schemas in a month with their paths: one for the month, or per file where they conflict."""
+    try:
+        return {spark.read.option("mergeSchema", "true").parquet(month).schema.json(): [month]}
+    except (PySparkException, Py4JJavaError) as exc:
+        if "CANNOT_MERGE_SCHEMAS" not in str(exc):
+            raise
+    found: dict[str, list[str]] = defaultdict(list)
+    for path in sorted(files):
+        found[spark.read.parquet(path).schema.json()].append(path)
+    return found
+
+
 def _cast_known(part: DataFrame, spec: FeedSpec) -> DataFrame:
     """Give the columns the models read one type; leave the others as text, whatever they were."""
     target = {source: TRIP_SCHEMA[name].dataType for name, source in spec.source_columns.items()}

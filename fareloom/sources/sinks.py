@@ -68,6 +68,16 @@ def write_run_document(summary: DataFrame, root: str) -> str:
     return key
 
 
+def document_metadata(summary: DataFrame) -> DataFrame:
+    """The three values stored beside a run document as object metadata."""
+    return summary.select(
+        F.create_map(
+            F.lit("dag_id"), F.col("dag_id"), F.lit("run_id"), F.col("run_id"),
+            F.lit("quality_gate"), F.col("quality_gate.status"),
+        ).alias("metadata")
+    )
+
+
 def append_audit(requests: DataFrame, path: str) -> bool:
     """Append audit events. A failing audit never fails the query; it is reported instead."""
     try:

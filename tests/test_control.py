@@ -37,9 +37,24 @@ def test_windows_roll_over_december():
 def test_folding(spark):
     texts = ["  Số chuyến ĐÓN ", "ﬁne ½ Ⅳ", "Ä‘i", "Ä", "日本 x"]
     got = [r[0] for r in column(spark, texts).select(fold_text(F.col("v"))).collect()]
+    # A fraction slash is not ASCII, so one half folds to its two digits.
     assert got == ["so chuyen don", "fine 12 iv", "di", "a", "x"]
 
 
+def test_folding_equals_unicode_decomposition_for_every_character(spark):
+    import unicodedata
+
+    blocks = ["".join(chr(c) for c in range(a, a + 256) if not 0xD800 <= c <= 0xDFFF) for a in range(0, 0x30000, 256)]
+    texts = [b for b in blocks if b] + ["a Ä\u0090 b", "Ä‘Ä", "plain ASCII  "]
+
+    def folded(text):
+        text = text.replace("đ", "d").replace("Đ", "D").replace("Ä‘", "d").replace("Ä\u0090", "D")
+        return unicodedata.normalize("NFKD", text).encode("ascii", "ignore").decode("ascii").lower().strip()
+
+    rows = column(spark, texts).select("v", fold_text(F.col("v")).alias("f")).collect()
+    assert [r.v for r in rows if r.f != folded(r.v)] == []
+
+
 def test_keys(spark):
     got = [r[0] for r in column(spark, [" a b/c ", "__", "x=1.y-z"]).select(key_part(F.col("v"))).collect()]
     assert got == ["a_b_c", "unknown", "x=1.y-z"]
@@ -180,6 +195,9 @@ def test_run_document_round_trip(spark, tmp_path):
     docs = documents.read_run_documents(spark, str(tmp_path), "job").where("file_name not like '_SUCCESS%'")
     found = documents.find_run(docs, "run/1")
     checked = quality.validate_summaries(found, "doc", F.lit("run/1"), F.lit("job")).first()
+    assert sinks.document_metadata(doc).first().metadata == {
+        "dag_id": "job", "run_id": "run/1", "quality_gate": "passed_with_warnings"
+    }
     assert checked.failures == []
     body = json.loads(checked.doc)
     assert body["target_months"] == ["2024-01"] and body["quality_gate"]["status"] == "passed_with_warnings"
@@ -347,6 +365,17 @@ def test_result_comparison(spark):
     assert match(spark, gold.orderBy("n"), gold.orderBy("n"), True)
 
 
+def test_exact_comparison(spark):
+    gold = spark.createDataFrame([("US", 2), ("UK", 1)], "country string, n int")
+
+    def same(a, b, ordered=False):
+        return compare.results_identical(a, b, ordered).first().match
+
+    assert same(gold, gold) and same(gold.orderBy("n"), gold)
+    assert not same(gold.select("n", "country"), gold) and not same(gold.select("country"), gold)
+    assert same(gold.orderBy("n"), gold.orderBy("n"), True) and not same(gold.orderBy(F.desc("n")), gold.orderBy("n"), True)
+
+
 def test_wide_results_match_by_name_only(spark):
     gold = spark.createDataFrame([(1, 2)], "a int, b int")
     wide = gold.select("*", *[F.lit(i).alias(f"c{i}") for i in range(8)])

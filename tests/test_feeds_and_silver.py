@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from fareloom.operators import gold
 from fareloom.operators.silver import reject_diagnostics, silver_anomaly_rows, silver_trips
+from fareloom.plans.medallion import run_medallion
 from fareloom.plans.warehouse import Warehouse
+from fareloom.sources.documents import read_run_documents
 from fareloom.sources.feeds import FEEDS, GREEN, YELLOW, bronze_feed, conform_feed, scan_feed, scan_zone_csv, unify_feeds
 from fareloom.sources.sinks import land_feed
 
@@ -113,6 +115,14 @@ def test_months_with_different_types_unite(spark, tmp_path):
     assert rows[1].source_year == 2024
 
 
+def test_files_of_one_month_may_conflict_too(spark, tmp_path):
+    month = f"{tmp_path}/yellow_taxi/year=2024/month=01"
+    rows = spark.createDataFrame([trip()], FEED).drop("year", "month")
+    rows.write.parquet(month)
+    rows.withColumn("VendorID", F.lit(2.0)).write.mode("append").parquet(month)
+    assert {r.VendorID for r in scan_feed(spark, str(tmp_path), YELLOW).collect()} == {"1", "2"}
+
+
 def test_landing_leaves_existing_months_alone(spark, tmp_path):
     root = str(tmp_path)
     january = spark.createDataFrame([trip()], FEED)
@@ -142,5 +152,22 @@ def test_warehouse_over_landing_files(spark, tmp_path):
     wh = Warehouse.from_landing(spark, root, str(csv))
     got = {r.service_type: (r.trip_count, r.total_fare_amount) for r in wh.gold_daily_kpis.collect()}
     assert got == {f.service_type: (1, 10.0) for f in FEEDS}
+    ingestion = spark.createDataFrame(
+        [("yellow", "uploaded", "u", "k", "2024", "01", "5", "s")],
+        "dataset string, status string, source_url string, bronze_object_key string, year string, month string, file_size_bytes string, sha256 string",
+    )
+    named = dict(job="job", run_mode="manual", logical_date="2024-02-01", created_at_utc="t")
+    stored, key = run_medallion(spark, wh, str(tmp_path / "lake"), ingestion, run_id="r1", **named)
+    assert key == "metadata/pipeline_runs/job/2024-02-01/r1.json"
+    assert stored.gold_daily_kpis.count() == 2
+    # Another file arrives for January; only that month is rebuilt.
+    spark.createDataFrame([trip()], FEED).drop("year", "month").write.mode("append").parquet(f"{root}/yellow_taxi/year=2024/month=1")
+    again = Warehouse.from_landing(spark, root, str(csv))
+    stored, _ = run_medallion(spark, again, str(tmp_path / "lake"), ingestion, run_id="r2", months=[(2024, 1)], **named)
+    assert stored.silver.count() == 3 and stored.gold_daily_kpis.agg(F.sum("trip_count")).first()[0] == 3
+    docs = read_run_documents(spark, str(tmp_path / "lake"), "job")
+    gates = {r[0] for r in docs.select(F.get_json_object("doc", "$.quality_gate.status")).collect()}
+    assert gates == {"passed"} and docs.count() == 2
+
     wh.register_views()
     assert spark.sql("select sum(trip_count) from gold_zone_demand where borough = 'Queens'").first()[0] == 2
