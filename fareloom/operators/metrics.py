@@ -58,10 +58,10 @@ def latency_percentiles(log: DataFrame, elapsed: str, group_by: list[str] | None
     )
 
 
-def latency_summary(log: DataFrame, elapsed: str, group_by: list[str], scale: int = 2) -> DataFrame:
+def latency_summary(log: DataFrame, elapsed: str, group_by: list[str]) -> DataFrame:
     """Runs, minimum, median and maximum per case."""
     wanted = {"min_ms": "1", "_low": MEDIAN_LOW, "_high": MEDIAN_HIGH, "max_ms": "n"}
-    found = exact_percentiles(log, elapsed, wanted, group_by, scale=scale)
+    found = exact_percentiles(log, elapsed, wanted, group_by)
     return found.select(*group_by, "min_ms", ((F.col("_low") + F.col("_high")) / 2).alias("median_ms"), "max_ms")
 
 
@@ -80,7 +80,7 @@ def throughput(log: DataFrame, level: str, started: str, elapsed: str) -> DataFr
         F.bround(exact_mean(F.col(elapsed)), 1).alias("mean_ms"),
     )
     ranks = {f"p{p}_ms": rounded_rank(p) for p in (50, 95, 99)}
-    points = exact_percentiles(log, elapsed, ranks, [level], scale=2)
+    points = exact_percentiles(log, elapsed, ranks, [level])
     points = points.select(level, *[F.bround(F.col(c), 1).alias(c) for c in ranks])
     return totals.join(points, level)
 

@@ -15,13 +15,13 @@ def exact_percentiles(
     value: str,
     ranks: dict[str, str],
     group_by: list[str] | None = None,
-    scale: int = 2,
+    scale: int = 6,
     bits: int = 48,
 ) -> DataFrame:
     """For each group, the values at given 1-based ranks of the sorted non-null values.
 
-    ``ranks`` maps an output column to an SQL expression of ``n``, the group's row count. The
-    value is turned into a whole number and found digit by digit, 16 bits at a time: counting the
+    ``ranks`` maps an output column to an SQL expression of ``n``, the group's row count. Values
+    are kept to ``scale`` decimals. They are turned into whole numbers and found digit by digit, 16 bits at a time: counting the
     rows per leading digit tells which digit the wanted rank falls under. A step handles at most
     65,536 counts per group, however many rows or distinct values the group has. ``bits`` is the
     width the values are expected to need; wider ones are still found, through a longer first step.
@@ -100,7 +100,7 @@ def rounded_rank(percent: int) -> str:
     return f"least(n, cast(rint({percent} / 100.0D * (n - 1)) as bigint) + 1)"
 
 
-def exact_median(df: DataFrame, value: str, name: str, group_by: list[str] | None = None, scale: int = 2, bits: int = 48) -> DataFrame:
+def exact_median(df: DataFrame, value: str, name: str, group_by: list[str] | None = None, scale: int = 6, bits: int = 48) -> DataFrame:
     """The middle value, or the mean of the two middle ones."""
     pair = exact_percentiles(df, value, {"_low": MEDIAN_LOW, "_high": MEDIAN_HIGH}, group_by, scale, bits)
     return pair.select(*(group_by or []), ((F.col("_low") + F.col("_high")) / 2).alias(name))

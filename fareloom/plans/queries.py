@@ -295,7 +295,7 @@ def city_totals(wh: Warehouse, borough: str, window: Window = None) -> DataFrame
     flagged = per_zone.join(zones.withColumn("_in", F.lit(1)), "pickup_zone_id", "left")
     in_borough = F.coalesce(F.sum(F.when(F.col("_in") == 1, F.col("n"))), F.lit(0))
     return flagged.agg(
-        F.sum("n").alias("trip_count"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("trip_count"),
         F.count("pickup_zone_id").alias("distinct_pickup_zones"),
         in_borough.alias("borough_trips"),
         F.round(F.try_divide(in_borough * 100.0, F.sum("n")), 2).alias("borough_pct"),

@@ -46,14 +46,18 @@ def write_partitions(df: DataFrame, path: str, keys: tuple[str, ...]) -> None:
     balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
 
 
-def stream_daily_kpis(silver: DataFrame, delay: str = "1 day") -> DataFrame:
+def stream_daily_kpis(silver: DataFrame, delay: str | None = None) -> DataFrame:
     """Daily KPIs of a silver stream over one-day windows.
 
+    Without ``delay`` nothing is ever too late, and the state grows by one row per service and day.
+    With it, days older than the delay are closed: their state is freed and later rows are ignored.
     The event time is built from the pickup date, so windows are calendar days in any session time
     zone. Sums are kept as whole units, from which ``finish_daily_kpis`` derives the averages.
     """
     timed = silver.withColumn("event_time", F.timestamp_seconds(F.unix_date("pickup_date").cast("long") * 86400))
-    grouped = timed.withWatermark("event_time", delay).groupBy(F.window("event_time", "1 day"), "service_type")
+    if delay is not None:
+        timed = timed.withWatermark("event_time", delay)
+    grouped = timed.groupBy(F.window("event_time", "1 day"), "service_type")
     counted = grouped.agg(
         F.count("*").alias("trip_count"),
         F.sum(units(F.col("fare_amount"))).alias("fare_units"),
