@@ -23,7 +23,7 @@ def exact_percentiles(
     ``ranks`` maps an output column to an SQL expression of ``n``, the group's row count. Values
     are kept to ``scale`` decimals. They are turned into whole numbers and found digit by digit, 16 bits at a time: counting the
     rows per leading digit tells which digit the wanted rank falls under. A step handles at most
-    65,536 counts per group, however many rows or distinct values the group has. ``bits`` is the
+    65,536 counts per group and rank, however many rows or distinct values the group has. ``bits`` is the
     width the values are expected to need; wider ones are still found, through a longer first step.
     """
     groups = list(group_by or [])
@@ -46,13 +46,15 @@ def exact_percentiles(
     asked = F.array(
         *[F.struct(F.lit(k).alias("_name"), F.expr(e).cast("long").alias("_rank")) for k, e in ranks.items()]
     )
-    first = _counted_below(counted, groups, [], digit_names[0])
-    first = first.withColumn("n", F.sum("_n").over(Window.partitionBy(*groups))).select("*", F.inline(asked))
-    wanted = _holding(first)
+    first = counted.groupBy(*groups, digit_names[0]).agg(F.sum("_n").alias("_n"))
+    first = first.withColumn("n", F.sum("_n").over(Window.partitionBy(*groups))).select("*", F.inline(asked)).drop("n")
+    wanted = _holding(first, groups, digit_names[0])
     for i in range(1, steps):
-        prefix = digit_names[:i]
-        level = _counted_below(counted, groups, prefix, digit_names[i])
-        wanted = _holding(_join_nulls(wanted.drop("n"), level, [*groups, *prefix]))
+        # Only the values under a wanted prefix take part in the next step.
+        keys = [*groups, *digit_names[:i]]
+        below = _join_nulls(wanted, counted.select(*keys, digit_names[i], "_n"), keys)
+        level = below.groupBy(*keys, "_name", "_rank", digit_names[i]).agg(F.sum("_n").alias("_n"))
+        wanted = _holding(level, keys, digit_names[i])
     found = F.col(digit_names[0])
     for name in digit_names[1:]:
         found = F.shiftleft(found, DIGIT_BITS).bitwiseOR(F.col(name))
@@ -62,16 +64,11 @@ def exact_percentiles(
     )
 
 
-def _counted_below(counted: DataFrame, groups: list[str], prefix: list[str], digit: str) -> DataFrame:
-    """Rows per digit under a prefix, and how many rows have a smaller digit there."""
-    level = counted.groupBy(*groups, *prefix, digit).agg(F.sum("_n").alias("_n"))
-    below = Window.partitionBy(*groups, *prefix).orderBy(digit).rowsBetween(Window.unboundedPreceding, -1)
-    return level.withColumn("_before", F.coalesce(F.sum("_n").over(below), F.lit(0)))
-
-
-def _holding(candidates: DataFrame) -> DataFrame:
-    """The digits a wanted rank falls under, with the rank counted from the digit's first row."""
-    kept = candidates.where((F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_before") + F.col("_n")))
+def _holding(level: DataFrame, keys: list[str], digit: str) -> DataFrame:
+    """The digit each wanted rank falls under, with the rank counted from that digit's first row."""
+    smaller = Window.partitionBy(*keys, "_name").orderBy(digit).rowsBetween(Window.unboundedPreceding, -1)
+    placed = level.withColumn("_before", F.coalesce(F.sum("_n").over(smaller), F.lit(0)))
+    kept = placed.where((F.col("_rank") > F.col("_before")) & (F.col("_rank") <= F.col("_before") + F.col("_n")))
     return kept.withColumn("_rank", F.col("_rank") - F.col("_before")).drop("_before", "_n")
 
 

@@ -106,13 +106,13 @@ GOLD_TABLES = (
     "dim_payment_type",
 )
 
-_built: dict[tuple[str, str], Warehouse] = {}
+_built: dict[tuple, Warehouse] = {}
 _lock = threading.Lock()
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     """The warehouse of a test-data folder, shared by the queries of one application."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, tables.tables_stamp(spark, sf_dir))
     with _lock:
         if key not in _built:
             _built[key] = Warehouse.from_tables(spark, sf_dir)

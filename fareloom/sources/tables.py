@@ -64,6 +64,21 @@ def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+TRIP_TABLES = ("lineitem", "orders", "customer", "supplier", "nation", "region")
+
+
+def tables_stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Size and time of change of the tables, to notice that a folder was written anew."""
+    path_type = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    stamp = []
+    for name in TRIP_TABLES:
+        path = path_type(f"{sf_dir}/{name}.parquet")
+        status = path.getFileSystem(conf).getFileStatus(path)
+        stamp.append((status.getLen(), status.getModificationTime()))
+    return tuple(stamp)
+
+
 def landed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trips written once, one directory per feed, so that each feed scans only its own rows."""
     return materialize(order_trips(spark, sf_dir), "bronze", ("feed",))

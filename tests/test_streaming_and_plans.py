@@ -119,3 +119,27 @@ def test_a_hot_key_does_not_change_results(spark):
         n, cents = want.get(key, (0, 0))
         want[key] = (n + 1, cents + i % 100)
     assert got == {k: (n, c / 100) for k, (n, c) in want.items()}
+
+
+def test_a_rewritten_folder_is_noticed(spark, small, tmp_path):
+    import shutil
+
+    for name in ("lineitem", "orders", "customer", "supplier", "nation", "region"):
+        shutil.copyfile(f"{small}/{name}.parquet", tmp_path / f"{name}.parquet")
+    before = warehouse(spark, str(tmp_path)).silver.count()
+    assert warehouse(spark, str(tmp_path)) is warehouse(spark, str(tmp_path))
+    shutil.copyfile("/root/testdata/sf0.01/orders.parquet", tmp_path / "orders.parquet")
+    shutil.copyfile("/root/testdata/sf0.01/lineitem.parquet", tmp_path / "lineitem.parquet")
+    assert warehouse(spark, str(tmp_path)).silver.count() != before
+
+
+@pytest.mark.parametrize("name", ["compare_results", "distance_median_mean", "latency_percentiles_overall", "service_share"])
+def test_no_cross_joins(spark, small, name):
+    import __spark_entry__ as entry
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_of(entry.queries()[name](spark, small))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Cartesian" not in plan and "NestedLoop" not in plan
