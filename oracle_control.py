@@ -16,6 +16,22 @@ LOG = """with log as (
 """
 
 
+# The rules each text of QUERY_TEXTS breaks, in the same order.
+BROKEN_RULES = [
+    [],
+    ["not a select", "write or command word", "unknown column"],
+    [],
+    ["wildcard on detail table"],
+    [],
+    ["join off the catalog paths"],
+    ["more than one statement", "write or command word", "unknown column"],
+    ["unknown column"],
+    ["cross join"],
+    [],
+    ["unknown table", "unknown column"],
+]
+
+
 def _text(value: str) -> str:
     return "'" + value.replace("'", "''") + "'"
 
@@ -251,6 +267,7 @@ def metric_sql() -> dict[str, str]:
     text = _choose("event_id", [f"replace({_text(t)}, '{{v}}', cast(user_id as varchar))" for t, _, _ in QUERY_TEXTS])
     category = _choose("event_id", [_text(c) for _, c, _ in QUERY_TEXTS])
     block = _choose("event_id", ["true" if b else "false" for _, _, b in QUERY_TEXTS])
+    rules = _choose("event_id", ["[" + ", ".join(map(_text, r)) + "]::varchar[]" for r in BROKEN_RULES])
     scanned = f"with scanned as (select event_id, {text} as sql, {category} as category, {block} as should_block from events)"
     seconds = "((max(e) - min(s)) / 1e6)"
     return {
@@ -286,6 +303,8 @@ def metric_sql() -> dict[str, str]:
             count(*) filter (where should_block) as blocked,
             round_even(count(*) filter (where should_block) / count(*), 4) as block_rate, cast(0 as bigint) as false_positives
             from scanned group by 1, 2""",
+        "block_reasons": f"""{scanned}, broken as (select sql, unnest({rules}) as reason from scanned)
+            select reason, count(*) as occurrences, min(sql) as example from broken group by 1 order by 2 desc, 1 limit 10""",
         "case_evaluation": """with k as (select event_id as k, event_type from events), f as (select k, event_type as category,
             (k % 17 = 0)::int + (k % 19 = 0)::int + (k % 5 = 0)::int + (k % 7 = 0)::int + (k % 3 = 0)::int + (k % 4 = 0)::int as n,
             k % 4 <> 0 as trace_complete, k % 3 <> 0 as grounded_answer from k)
