@@ -54,6 +54,11 @@ def month_start_with_lag(day: Column, lag: int) -> Column:
     return F.add_months(F.trunc(day, "month"), -lag)
 
 
+def in_months(months: list[tuple[int, int]], year: str = "source_year", month: str = "source_month") -> Column:
+    """True for the given (year, month) pairs; on directory columns this prunes directories."""
+    return (F.col(year) * 12 + F.col(month)).isin([y * 12 + m for y, m in months])
+
+
 def previous_month_starts(day: Column, count: int) -> Column:
     """Array with the starts of the previous ``count`` months, oldest first."""
     if count <= 0:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from fareloom.functions.dates import in_months
 from fareloom.operators import gold, quality
 from fareloom.plans.warehouse import GOLD_TABLES, Warehouse
 from fareloom.sources.sinks import write_run_document
-from fareloom.streaming.incremental import write_partitions
-from fareloom.workspace import write_table
+from fareloom.workspace import replace_partitions, write_table
 
 MONTH = ("source_year", "source_month")
 
@@ -25,11 +25,12 @@ class StoredWarehouse(Warehouse):
 
     def build_silver(self, months: list[tuple[int, int]] | None = None) -> None:
         """Rebuild silver, or only the given source months, leaving the others untouched."""
+        # Bronze lies in the same month directories, so neither way shuffles.
         if months is None:
-            write_table(self.silver_plan, self.path("silver"), MONTH, ("pickup_date",))
+            write_table(self.silver_plan, self.path("silver"), MONTH, ("pickup_date",), rebalance=False)
         else:
-            wanted = " or ".join(f"(source_year = {y} and source_month = {m})" for y, m in months)
-            write_partitions(self.silver_plan.where(wanted), self.path("silver"), MONTH)
+            touched = self.silver_plan.where(in_months(months))
+            replace_partitions(touched, self.path("silver"), MONTH, ("pickup_date",), rebalance=False)
         self.__dict__["silver"] = self._read("silver", self.silver_plan)
 
     def build_gold(self) -> None:

@@ -80,8 +80,8 @@ def tables_stamp(spark: SparkSession, sf_dir: str) -> tuple:
 
 
 def landed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trips written once, one directory per feed, so that each feed scans only its own rows."""
-    return materialize(order_trips(spark, sf_dir), "bronze", ("feed",))
+    """The trips written once in the landing layout, one directory per feed and month."""
+    return materialize(order_trips(spark, sf_dir), "bronze", ("feed", "year", "month"))
 
 
 def feed_view(landed: DataFrame, spec: FeedSpec) -> DataFrame:

@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from fareloom.functions.dates import in_months
 from fareloom.functions.numbers import from_units, safe_divide, units
 from fareloom.operators.gold import daily_kpis
 from fareloom.operators.silver import silver_trips
 from fareloom.sources.feeds import FeedSpec, bronze_feed, conform_feed
-from fareloom.workspace import write_table
+from fareloom.workspace import replace_partitions, write_table
+
+MONTH = ("source_year", "source_month")
 
 
 def stream_feed(spark: SparkSession, path: str, schema: T.StructType, spec: FeedSpec) -> DataFrame:
@@ -25,27 +30,23 @@ def stream_silver(bronze: DataFrame, spec: FeedSpec) -> DataFrame:
 
 
 def rebuild_touched_months(
-    changes: DataFrame, path: str, checkpoint: str, rebuild, months: tuple[str, str] = ("source_year", "source_month")
+    changes: DataFrame, path: str, checkpoint: str, rebuild: Callable[[list[tuple[int, int]]], DataFrame]
 ) -> StreamingQuery:
     """For each micro-batch, rebuild the months it touches and leave all others as they are.
 
-    ``rebuild(keys)`` returns the full silver rows of the given months. Overwriting whole months
-    makes a replayed batch harmless.
+    ``rebuild(months)`` returns the full silver rows of the given source months. Only the list of
+    months, a handful of number pairs, reaches the driver; as literals they prune the directories
+    to read. Overwriting whole months makes a replayed batch harmless.
     """
 
     def one_batch(batch: DataFrame, _: int) -> None:
-        touched = batch.select(*months).distinct()
-        write_partitions(rebuild(touched), path, months)
+        touched = [(r[0], r[1]) for r in batch.select(*MONTH).distinct().collect()]
+        if touched:
+            replace_partitions(rebuild(touched), path, MONTH, ("pickup_date",), rebalance=False)
 
     return changes.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def write_partitions(df: DataFrame, path: str, keys: tuple[str, ...]) -> None:
-    """Overwrite only the partitions that occur in ``df``."""
-    balanced = df.hint("rebalance", *keys).sortWithinPartitions(*keys)
-    balanced.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)
-
-
 def stream_daily_kpis(silver: DataFrame, delay: str | None = None) -> DataFrame:
     """Daily KPIs of a silver stream over one-day windows.
 
@@ -104,9 +105,8 @@ def read_updates(spark: SparkSession, path: str) -> DataFrame:
     return finish_daily_kpis(latest.select("service_type", "pickup_date", "s.*"))
 
 
-def refresh_daily_kpis(silver: DataFrame, touched: DataFrame, path: str) -> None:
+def refresh_daily_kpis(silver: DataFrame, months: list[tuple[int, int]], path: str) -> None:
     """Rewrite the mart's months that changed."""
-    months = ("source_year", "source_month")
-    rows = silver.join(touched, list(months), "left_semi")
-    kpis = daily_kpis(rows).withColumns({"source_year": F.year("pickup_date"), "source_month": F.month("pickup_date")})
-    write_partitions(kpis, path, months)
+    kpis = daily_kpis(silver.where(in_months(months)))
+    dated = kpis.withColumns({"source_year": F.year("pickup_date"), "source_month": F.month("pickup_date")})
+    replace_partitions(dated, path, MONTH)

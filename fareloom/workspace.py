@@ -56,18 +56,17 @@ def materialize(
     name: str,
     partition_by: tuple[str, ...] = (),
     sort_by: tuple[str, ...] = (),
+    rebalance: bool = True,
 ) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and return a scan of it.
 
-    The rebalance hint lets adaptive execution split a hot partition value over several tasks and
-    merge small ones, so a month holding a third of the rows is not written by one task and small
-    months do not become one file per task. Without a shared folder the plan is returned unchanged.
+    Without a shared folder the plan is returned unchanged.
     """
     spark = df.sparkSession
     if shared_root(spark) is None:
         return df
     path = scratch_path(spark, name)
-    write_table(df, path, partition_by, sort_by)
+    write_table(df, path, partition_by, sort_by, rebalance=rebalance)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
@@ -77,11 +76,30 @@ def write_table(
     partition_by: tuple[str, ...] = (),
     sort_by: tuple[str, ...] = (),
     mode: str = "overwrite",
+    rebalance: bool = True,
 ) -> None:
-    balanced = df.hint("rebalance", *partition_by)
+    """Write a table in files of a sensible size.
+
+    The rebalance hint lets adaptive execution split a hot partition value over several tasks and
+    merge small ones, so a month holding a third of the rows is not written by one task and small
+    months do not become one file per task. It costs a shuffle, so input that already lies in the
+    directories it is written to goes without.
+    """
+    if rebalance:
+        df = df.hint("rebalance", *partition_by)
     if partition_by or sort_by:
-        balanced = balanced.sortWithinPartitions(*partition_by, *sort_by)
-    writer = balanced.write.mode(mode)
+        df = df.sortWithinPartitions(*partition_by, *sort_by)
+    writer = df.write.mode(mode)
+    if mode == "overwrite" and partition_by:
+        writer = writer.option("partitionOverwriteMode", "static")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...], sort_by: tuple[str, ...] = (), rebalance: bool = True) -> None:
+    """Overwrite only the partitions that occur in ``df``."""
+    if rebalance:
+        df = df.hint("rebalance", *partition_by)
+    writer = df.sortWithinPartitions(*partition_by, *sort_by).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)

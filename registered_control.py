@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.functions.dates import DateWindow
+from fareloom.functions.dates import DateWindow, in_months
 from fareloom.functions.text import fold_text, key_part, run_document_key
 from fareloom.operators import compare, ingest, metrics, quality, typing
+from fareloom.operators.silver import silver_trips
 from fareloom.plans import queries as q
 from fareloom.plans.catalog import gold_catalog
 from fareloom.plans.governed import Filter, Join, Metric, Request, governed_query, plan_request
@@ -19,10 +20,10 @@ from fareloom.plans.warehouse import Warehouse, warehouse
 from fareloom.sources import derived_logs as logs
 from fareloom.sources import tables
 from fareloom.sources.documents import read_audit_log
-from fareloom.sources.feeds import FEEDS
-from fareloom.sources.sinks import append_audit
+from fareloom.sources.feeds import FEEDS, bronze_feed, unify_feeds
+from fareloom.sources.sinks import append_audit, land_feed
 from fareloom.streaming import incremental
-from fareloom.workspace import materialize, scratch_path
+from fareloom.workspace import scratch_path
 
 H1 = DateWindow.first_half(1998)
 Query = Callable[[SparkSession, str], DataFrame]
@@ -292,29 +293,22 @@ def _streaming_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _streaming_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land both feeds as files, stream each into silver, month by month."""
+    """Land both feeds as monthly files, stream each, and rebuild the silver months it touches."""
     wh = warehouse(spark, sf_dir)
-    out = scratch_path(spark, "silver_incremental")
-    for spec in FEEDS:
-        landed = materialize(wh.bronze[spec].drop("service_type"), f"landing_{spec.dataset}")
-        source = scratch_path(spark, f"source_{spec.dataset}")
-        landed.write.parquet(source)
-        bronze = incremental.stream_feed(spark, source, landed.schema, spec)
-        changes = incremental.stream_silver(bronze, spec)
-
-        def rebuild(touched: DataFrame, spec=spec, landed=landed) -> DataFrame:
-            from fareloom.operators.silver import silver_trips
-            from fareloom.sources.feeds import bronze_feed, conform_feed
-
-            rows = silver_trips(conform_feed(bronze_feed(landed, spec), spec))
-            return rows.join(touched, ["source_year", "source_month"], "left_semi")
-
-        state = scratch_path(spark, f"state_{spec.dataset}")
-        keys = ("source_year", "source_month")
-        incremental.rebuild_touched_months(changes, f"{out}/{spec.dataset}", state, rebuild, keys).awaitTermination()
+    root, out = scratch_path(spark, "landing"), scratch_path(spark, "silver_incremental")
     both = None
     for spec in FEEDS:
-        part = spark.read.schema(wh.silver.schema).parquet(f"{out}/{spec.dataset}")
+        raw = wh.bronze[spec].drop("service_type")
+        land_feed(raw, root, spec)
+        path = f"{root}/{spec.service_type}"
+        changes = incremental.stream_silver(incremental.stream_feed(spark, path, raw.schema, spec), spec)
+        landed = silver_trips(unify_feeds({spec: bronze_feed(spark.read.schema(raw.schema).parquet(path), spec)}))
+        state, target = scratch_path(spark, f"state_{spec.dataset}"), f"{out}/{spec.dataset}"
+        rebuilt = incremental.rebuild_touched_months(
+            changes, target, state, lambda months, landed=landed: landed.where(in_months(months))
+        )
+        rebuilt.awaitTermination()
+        part = spark.read.schema(wh.silver.schema).parquet(target)
         both = part if both is None else both.unionByName(part)
     return q.star_rollup(both, [q.TRIPS, q.REVENUE], (), ["source_year", "source_month", "service_type"])
 

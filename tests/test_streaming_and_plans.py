@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from fareloom.functions.dates import DateWindow
+from fareloom.functions.dates import DateWindow, in_months
 from fareloom.operators import gold
 from fareloom.operators.silver import silver_trips
 from fareloom.plans import queries as q
@@ -29,9 +29,9 @@ def test_new_files_rebuild_only_their_months(spark, tmp_path):
     def run():
         changes = incremental.stream_silver(incremental.stream_feed(spark, source, schema, YELLOW), YELLOW)
 
-        def rebuild(touched):
+        def rebuild(months):
             everything = silver_trips(conform_feed(bronze_feed(spark.read.schema(schema).parquet(source), YELLOW), YELLOW))
-            return everything.join(touched, ["source_year", "source_month"], "left_semi")
+            return everything.where(in_months(months))
 
         incremental.rebuild_touched_months(changes, out, state, rebuild).awaitTermination()
         return spark.read.parquet(out)
@@ -48,8 +48,8 @@ def test_new_files_rebuild_only_their_months(spark, tmp_path):
     assert run().count() == 4
 
     mart = str(tmp_path / "kpis")
-    incremental.refresh_daily_kpis(second, second.select("source_year", "source_month").distinct(), mart)
-    incremental.refresh_daily_kpis(second, second.where("source_month = 2").select("source_year", "source_month").distinct(), mart)
+    incremental.refresh_daily_kpis(second, [(2024, 1), (2024, 2)], mart)
+    incremental.refresh_daily_kpis(second, [(2024, 2)], mart)
     assert spark.read.parquet(mart).agg(F.sum("trip_count")).first()[0] == 4
 
 
@@ -85,6 +85,15 @@ def test_window_queries_prune_months_and_columns(spark, small):
     assert "dropoff_at" not in scan and "passenger_count" not in scan
 
 
+def test_silver_is_built_without_a_shuffle_and_by_month(spark, small):
+    wh = warehouse(spark, small)
+    plan = plan_of(wh.silver_plan)
+    assert "Exchange" not in plan
+    pruned = plan_of(wh.silver_plan.where(in_months([(1998, 3), (1998, 4)])))
+    filters = [line for line in pruned.splitlines() if line.startswith("PartitionFilters")]
+    assert filters and all("year" in line and "month" in line for line in filters)
+
+
 @pytest.mark.parametrize("name", ["vendor_rollup", "od_matrix", "zone_ranking"])
 def test_fact_is_reduced_before_it_is_joined(spark, small, name):
     days = (date(1998, 1, 1), date(1998, 6, 30))
