@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,14 +49,24 @@ def route_questions(df: DataFrame, text: str, catalog: Catalog) -> DataFrame:
             "top_n": asked_top_n(q),
         }
     )
-    planned = staged.withColumn("plan", plan_for(q, F.col("metric"), catalog))
+    # Every notion is looked for once, then the rules combine the findings into a plan number.
+    signals = {f"_{name}": found for name, found in notions(q).items()}
+    numbered = staged.withColumns(signals).withColumn("_plan", plan_number(F.col("metric")))
     start, end = asked_window(F.col("year"), F.col("month"), F.col("half"))
-    return planned.select(
-        *[c for c in planned.columns if c != "plan"],
-        F.col("plan.intent").alias("intent"),
-        F.col("plan.surface").alias("surface"),
-        F.col("plan.tables").alias("tables"),
-        F.col("plan.groupings").alias("expected_groupings"),
+    plans = [*PLANS, Plan("general_gold_query", PLANNED, tuple(catalog.enabled().names()), ())]
+
+    def chosen(options: list) -> Column:
+        return F.get(F.array(*options), F.col("_plan"))
+
+    def names(values: tuple[str, ...]) -> Column:
+        return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+
+    return numbered.select(
+        *staged.columns,
+        chosen([F.lit(p.intent) for p in plans]).alias("intent"),
+        chosen([F.lit(p.surface) for p in plans]).alias("surface"),
+        chosen([names(p.tables) for p in plans]).alias("tables"),
+        chosen([names(p.groupings) for p in plans]).alias("expected_groupings"),
         start.alias("date_from"),
         end.alias("date_to"),
     )
@@ -113,42 +125,68 @@ def names_services(q: Column) -> Column:
     )
 
 
-def _plan(intent: str, surface: str, tables: list[str], groupings: list[str]) -> Column:
-    return F.struct(
-        F.lit(intent).alias("intent"),
-        F.lit(surface).alias("surface"),
-        F.array(*[F.lit(t) for t in tables]).alias("tables"),
-        F.array(*[F.lit(g) for g in groupings]).cast("array<string>").alias("groupings"),
-    )
+@dataclass(frozen=True)
+class Plan:
+    intent: str
+    surface: str
+    tables: tuple[str, ...]
+    groupings: tuple[str, ...]
+
+
+_BY_MONTH = ("month", "service_type")
+# In the order in which the rules are tried.
+PLANS = (
+    Plan("pickup_dropoff_borough_comparison", STAR, ("fact_trips", "dim_zone"), ("pickup_borough", "dropoff_borough")),
+    Plan("monthly_service_total_amount", STAR, ("fact_trips",), _BY_MONTH),
+    Plan("monthly_service_kpi", MART, ("gold_daily_kpis",), _BY_MONTH),
+    Plan("monthly_service_comparison", MART, ("gold_daily_kpis",), _BY_MONTH),
+    Plan("monthly_trip_trend", STAR, ("fact_trips", "dim_date"), ("year_month",)),
+    Plan("dropoff_borough_demand", STAR, ("fact_trips", "dim_zone"), ("borough",)),
+    Plan("pickup_borough_demand", MART, ("gold_zone_demand",), ("borough",)),
+    Plan("zone_demand", MART, ("gold_zone_demand",), ("zone_name",)),
+    Plan("vendor_analysis", STAR, ("fact_trips", "dim_vendor"), ("year_month", "vendor_name")),
+    Plan("vendor_analysis", STAR, ("fact_trips", "dim_vendor"), ("vendor_name",)),
+    Plan("payment_analysis", STAR, ("fact_trips", "dim_payment_type"), ("payment_type_name",)),
+)
+
+
+def notions(q: Column) -> dict[str, Column]:
+    return {
+        "monthly": has_any(q, MONTHLY),
+        "services": names_services(q),
+        "trip": has_any(q, TRIP),
+        "zone": has_any(q, ZONE),
+        "borough": has_any(q, BOROUGH),
+        "zone_wording": has_any(q, ZONE_WORDING),
+        "pickup": has_any(q, PICKUP),
+        "dropoff": has_any(q, DROPOFF),
+        "vendor": has_any(q, VENDOR),
+        "payment": has_any(q, PAYMENT),
+        "trend": has_any(q, TREND),
+    }
+
+
+def plan_number(metric: Column) -> Column:
+    """The place in ``PLANS`` of the first rule that holds, or the place after the last."""
 
+    def has(name: str) -> Column:
+        return F.col(f"_{name}")
 
-def plan_for(q: Column, metric: Column, catalog: Catalog) -> Column:
-    """The first rule that holds decides."""
-    monthly_service = has_any(q, MONTHLY) & names_services(q)
-    both_ends = has_any(q, PICKUP) & has_any(q, DROPOFF) & has_any(q, ZONE)
-    by_month = ["month", "service_type"]
+    monthly_service = has("monthly") & has("services")
     rules = [
-        (both_ends, _plan("pickup_dropoff_borough_comparison", STAR, ["fact_trips", "dim_zone"],
-                          ["pickup_borough", "dropoff_borough"])),
-        (monthly_service & (metric == "total_amount"),
-         _plan("monthly_service_total_amount", STAR, ["fact_trips"], by_month)),
-        (monthly_service & metric.isin("avg_trip_distance", "total_fare_amount"),
-         _plan("monthly_service_kpi", MART, ["gold_daily_kpis"], by_month)),
-        (monthly_service, _plan("monthly_service_comparison", MART, ["gold_daily_kpis"], by_month)),
-        (has_any(q, MONTHLY) & has_any(q, TRIP),
-         _plan("monthly_trip_trend", STAR, ["fact_trips", "dim_date"], ["year_month"])),
-        (has_any(q, DROPOFF) & has_any(q, ZONE),
-         _plan("dropoff_borough_demand", STAR, ["fact_trips", "dim_zone"], ["borough"])),
-        (has_any(q, BOROUGH) & ~has_any(q, ZONE_WORDING),
-         _plan("pickup_borough_demand", MART, ["gold_zone_demand"], ["borough"])),
-        (has_any(q, ZONE), _plan("zone_demand", MART, ["gold_zone_demand"], ["zone_name"])),
-        (has_any(q, VENDOR) & (has_any(q, MONTHLY) | has_any(q, TREND)),
-         _plan("vendor_analysis", STAR, ["fact_trips", "dim_vendor"], ["year_month", "vendor_name"])),
-        (has_any(q, VENDOR), _plan("vendor_analysis", STAR, ["fact_trips", "dim_vendor"], ["vendor_name"])),
-        (has_any(q, PAYMENT),
-         _plan("payment_analysis", STAR, ["fact_trips", "dim_payment_type"], ["payment_type_name"])),
+        has("pickup") & has("dropoff") & has("zone"),
+        monthly_service & (metric == "total_amount"),
+        monthly_service & metric.isin("avg_trip_distance", "total_fare_amount"),
+        monthly_service,
+        has("monthly") & has("trip"),
+        has("dropoff") & has("zone"),
+        has("borough") & ~has("zone_wording"),
+        has("zone"),
+        has("vendor") & (has("monthly") | has("trend")),
+        has("vendor"),
+        has("payment"),
     ]
-    decided = F.when(*rules[0])
-    for rule, plan in rules[1:]:
-        decided = decided.when(rule, plan)
-    return decided.otherwise(_plan("general_gold_query", PLANNED, catalog.enabled().names(), []))
+    number = F.when(rules[0], 0)
+    for i, rule in enumerate(rules[1:], start=1):
+        number = number.when(rule, i)
+    return number.otherwise(len(rules))
