@@ -30,7 +30,8 @@ def policy_scan(df: DataFrame, text: str, catalog: Catalog) -> DataFrame:
     base = df.withColumn("_sql", F.trim(F.regexp_replace(bare, r"\s+", " ")))
     sql = F.col("_sql")
     source = r"\b(?:from|join) (?:\w+\.)*(\w+)"
-    aliased = r"\b(?:from|join) ((?:\w+\.)*\w+(?: as)? (?!on\b|join\b|where\b|group\b|order\b|left\b|right\b|inner\b|cross\b|full\b|limit\b|having\b|union\b)\w+)"
+    followers = "|".join(("on", "join", "where", "group", "order", "left", "right", "inner", "cross", "full", "limit", "having", "union"))
+    aliased = rf"\b(?:from|join) ((?:\w+\.)*\w+(?: as)? (?!(?:{followers})\b)\w+)"
     base = base.withColumns(
         {
             "_ctes": F.regexp_extract_all(sql, F.lit(r"(?:\bwith|,) (\w+) as \("), F.lit(1)),

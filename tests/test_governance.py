@@ -4,7 +4,6 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from fareloom.functions.dates import DateWindow
 from fareloom.plans.answers import answer
 from fareloom.plans.catalog import Catalog, CatalogTable, JoinPath, contract_problems, gold_catalog
 from fareloom.plans.governed import Filter, GovernedQueryError, Join, Metric, Request, check_request, governed_query, plan_request
