@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import exact_dedup, lm_scoring
+from fareloom.llm import exact_dedup, lm_scoring, mixing
 from fareloom.llm.common import documents, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,8 +21,12 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(documents(spark, sf_dir))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixed_documents(documents(spark, sf_dir)).drop("part_from", "part_words", "first_words")
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_lm_scoring": op1_lm_scoring, "op2_exact_dedup": op2_exact_dedup}
+    return {"op1_lm_scoring": op1_lm_scoring, "op2_exact_dedup": op2_exact_dedup, "op3_mixing": op3_mixing}
 
 
 _OP2 = r"""
@@ -36,5 +40,63 @@ select doc_id, keep_id, n as group_size, place = 1 as kept, sha256(body) as text
 """
 
 
+_OP3 = r"""
+with sized as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) as size from documents
+), marked as (
+  select *, coalesce(doc_id::varchar, 'none') || '|' || size::varchar as mark from sized
+), sizes as (
+  select source, sum(size)::bigint as source_size, count(*) as docs from sized group by source
+), weighed as (
+  select *, (row_number() over (order by source nulls last) - 1) % 3 + 1 as weight, 3 * source_size as cap from sizes
+), filled as (
+  select *, (sum(source_size) over () - coalesce(sum(cap) over w, 0)) / (sum(weight) over () - coalesce(sum(weight) over w, 0)) as level
+  from weighed window w as (order by cap / weight, source nulls last rows between unbounded preceding and 1 preceding)
+), leveled as (
+  select *, (select level from filled where level <= cap / weight order by cap / weight, source nulls last limit 1) as chosen from filled
+), targets as (
+  select source, source_size, docs, least(cap::double, weight * chosen) as target from leveled
+), seated as (
+  select *, floor(sum(target) over () / 16 + 0.5)::bigint as seats from targets
+), source_quotients as (
+  select source, row_number() over (order by target / (2 * k + 1) desc, source nulls last, k) as place, seats
+  from seated, unnest(range(0, (floor(target / 16) + 30)::bigint)) as u(k)
+), source_quotas as (
+  select s.source, s.source_size, s.target, s.docs, coalesce(q.quota, 0) as quota from seated s
+  left join (select source, count(*) as quota from source_quotients where place <= seats group by source) q on s.source is not distinct from q.source
+), placed as (
+  select m.*, q.source_size, q.target, q.quota as source_quota,
+    ('0x' || substr(md5('mix-1|shard|' || m.mark), 1, 8))::bigint % ceil(q.docs / 20000)::bigint as shard
+  from marked m join source_quotas q on m.source is not distinct from q.source
+), shards as (
+  select source, shard, source_quota, sum(size)::bigint as shard_size from placed group by all
+), shard_shares as (
+  select *, sum(shard_size) over (partition by source) as whole from shards
+), shard_quotients as (
+  select source, shard, source_quota, row_number() over (partition by source order by shard_size / (2 * k + 1) desc, shard, k) as place
+  from shard_shares, unnest(range(0, (case when whole = 0 then 0 else floor(source_quota * shard_size / whole) + 30 end)::bigint)) as u(k)
+), shard_plan as (
+  select s.source, s.shard, s.shard_size, greatest(floor(s.shard_size / 16 + 0.5)::bigint, 1) as blocks, coalesce(q.quota, 0) as seats
+  from shards s left join (select source, shard, count(*) as quota from shard_quotients where place <= source_quota group by all) q
+    on s.source is not distinct from q.source and s.shard = q.shard
+), quotas as (
+  select *, least(seats, 3 * blocks) // blocks as times, least(seats, 3 * blocks) % blocks as more,
+    ('0x' || substr(md5('mix-1|start|' || coalesce(source, '') || '|' || shard::varchar), 1, 8))::bigint % blocks as start
+  from shard_plan
+), runs as (
+  select *, floor(start * shard_size / blocks)::bigint as run_from, floor(least(start + more, blocks) * shard_size / blocks)::bigint as run_to,
+    floor(greatest(start + more - blocks, 0) * shard_size / blocks)::bigint as wrap_to
+  from quotas
+), lined as (
+  select *, sum(size) over (partition by source, shard order by ('0x' || substr(md5('mix-1|order|' || mark), 1, 8))::bigint, mark
+    rows between unbounded preceding and current row)::bigint as ends from placed
+)
+select l.doc_id, l.size, l.source_size, l.target,
+  (case when l.size = 0 then 0 else r.times * l.size + greatest(least(l.ends, r.run_to) - greatest(l.ends - l.size, r.run_from), 0)
+    + greatest(least(l.ends, r.wrap_to) - (l.ends - l.size), 0) end)::bigint as taken
+from lined l join runs r on l.source is not distinct from r.source and l.shard = r.shard
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": _OP2}
+    return {"op2_exact_dedup": _OP2, "op3_mixing": _OP3}
