@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import exact_dedup, lm_scoring, mixing
+from fareloom.llm import exact_dedup, lm_scoring, mixing, simhash_dedup
 from fareloom.llm.common import documents, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,8 +25,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(documents(spark, sf_dir)).drop("part_from", "part_words", "first_words")
 
 
+def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_dedup.near_duplicates(documents(spark, sf_dir)).drop("print")
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_lm_scoring": op1_lm_scoring, "op2_exact_dedup": op2_exact_dedup, "op3_mixing": op3_mixing}
+    return {"op1_lm_scoring": op1_lm_scoring, "op2_exact_dedup": op2_exact_dedup, "op3_mixing": op3_mixing, "op9_simhash_dedup": op9_simhash_dedup}
 
 
 _OP2 = r"""
