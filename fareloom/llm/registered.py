@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import exact_dedup, lm_scoring, mixing, simhash_dedup
+from fareloom.llm import exact_dedup, lm_scoring, mixing, packing, simhash_dedup
 from fareloom.llm.common import documents, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,12 +25,24 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(documents(spark, sf_dir)).drop("part_from", "part_words", "first_words")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.packed(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(documents(spark, sf_dir)).drop("print")
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_lm_scoring": op1_lm_scoring, "op2_exact_dedup": op2_exact_dedup, "op3_mixing": op3_mixing, "op9_simhash_dedup": op9_simhash_dedup}
+    return {"op1_lm_scoring": op1_lm_scoring, "op2_exact_dedup": op2_exact_dedup, "op3_mixing": op3_mixing, "op6_packing": op6_packing, "op9_simhash_dedup": op9_simhash_dedup}
 
 
 _OP2 = r"""
