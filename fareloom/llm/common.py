@@ -17,10 +17,15 @@ WORD = r"[^\x20\x09-\x0D]+"
 WHITE = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 
 #: Columns that tell rows apart; they never reach a caller.
+#: Most classes a classifier tells apart; the rarest beyond are not learned.
+MOST_CLASSES = 200
+
 ROW_KEY = ("__row_file", "__row_at")
 
 _IS_WHITE = np.zeros(256, dtype=bool)
 _IS_WHITE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+#: All but ASCII letters and the bytes of other characters.
+NOT_LETTER = np.array([not (65 <= b <= 90 or 97 <= b <= 122 or b >= 128) for b in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2**64
@@ -69,6 +74,20 @@ def without_white_space(text: Column) -> Column:
     return text
 
 
+def bounded_sample(rows: DataFrame, by: str, most: int, key: Column) -> DataFrame:
+    """At most ``most`` rows of each value of ``by``, chosen by a hash of ``key``; every value keeps its share of room.
+
+    Fewer rows than ``most`` are all taken. The values of ``by`` must be few: they are counted and listed in the plan.
+    """
+    counts = rows.groupBy(by).count().where(F.col(by).isNotNull()).orderBy(F.desc("count"), by).limit(MOST_CLASSES).collect()
+    draw = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 20))
+    chosen = F.lit(False)
+    for row in counts:
+        share = int((1 << 20) * min(1.0, most / row["count"]))
+        chosen = chosen | ((F.col(by) == row[by]) & (draw < share))
+    return rows.where(chosen)
+
+
 def text_blocks(bytes_in: int, bytes_each: int, most_bits: int = 24) -> int:
     """Bits of a hash that split so much text into blocks of about ``bytes_each``."""
     return min(most_bits, max(0, int(np.ceil(np.log2(max(1, bytes_in) / bytes_each)))))
@@ -104,10 +123,13 @@ def pieces_of(offsets: np.ndarray, most: int = 1 << 21) -> Iterator[tuple[int, i
         first = last
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and the number of words in each row; a word never crosses rows."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, outside: np.ndarray = _IS_WHITE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every word, and the number of words in each row; a word never crosses rows.
+
+    ``outside`` tells for each byte whether it separates words.
+    """
     inside = np.zeros(len(data) + 2, bool)
-    inside[1:-1] = ~_IS_WHITE[data]
+    inside[1:-1] = ~outside[data]
     begins = inside[1:-1] & ~inside[:-2]
     ends = inside[1:-1] & ~inside[2:]
     edge = offsets[1:-1]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import exact_dedup, lm_scoring, mixing, packing, simhash_dedup
+from fareloom.llm import exact_dedup, language_id, lm_scoring, mixing, packing, simhash_dedup
 from fareloom.llm.common import documents, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,12 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(documents(spark, sf_dir)).drop("part_from", "part_words", "first_words")
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    found = language_id.predict(documents(spark, sf_dir), ~held_out)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def vocabulary(name: str) -> str:
     """Path of a public tokenizer file."""
     import public_tokenizers
@@ -42,7 +48,7 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_lm_scoring": op1_lm_scoring, "op2_exact_dedup": op2_exact_dedup, "op3_mixing": op3_mixing, "op6_packing": op6_packing, "op9_simhash_dedup": op9_simhash_dedup}
+    return {"op1_lm_scoring": op1_lm_scoring, "op2_exact_dedup": op2_exact_dedup, "op3_mixing": op3_mixing, "op4_language_id": op4_language_id, "op6_packing": op6_packing, "op9_simhash_dedup": op9_simhash_dedup}
 
 
 _OP2 = r"""
