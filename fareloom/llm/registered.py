@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import exact_dedup, language_id, lm_scoring, mixing, packing, simhash_dedup
-from fareloom.llm.common import documents, remainder
+from fareloom.llm import exact_dedup, language_id, lm_scoring, mixing, packing, quality, simhash_dedup
+from fareloom.llm.common import documents, labels, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,12 +43,18 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = documents(spark, sf_dir), remainder(F.col("doc_id"), 4) == 2
+    model = quality.learn(docs, labels(spark, sf_dir), ~held_out)
+    return quality.scored(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(documents(spark, sf_dir)).drop("print")
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_lm_scoring": op1_lm_scoring, "op2_exact_dedup": op2_exact_dedup, "op3_mixing": op3_mixing, "op4_language_id": op4_language_id, "op6_packing": op6_packing, "op9_simhash_dedup": op9_simhash_dedup}
+    return {"op1_lm_scoring": op1_lm_scoring, "op2_exact_dedup": op2_exact_dedup, "op3_mixing": op3_mixing, "op4_language_id": op4_language_id, "op6_packing": op6_packing, "op7_quality": op7_quality, "op9_simhash_dedup": op9_simhash_dedup}
 
 
 _OP2 = r"""
