@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import exact_dedup, language_id, lm_scoring, mixing, packing, quality, simhash_dedup
+from fareloom.llm import exact_dedup, language_id, lm_scoring, mixing, packing, quality, simhash_dedup, toxicity
 from fareloom.llm.common import documents, labels, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,8 +53,14 @@ def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(documents(spark, sf_dir)).drop("print")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held_out = documents(spark, sf_dir), remainder(F.col("doc_id"), 3) == 1
+    model, tables = toxicity.learn(docs, labels(spark, sf_dir), ~held_out)
+    return toxicity.scored(docs, model, tables).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_lm_scoring": op1_lm_scoring, "op2_exact_dedup": op2_exact_dedup, "op3_mixing": op3_mixing, "op4_language_id": op4_language_id, "op6_packing": op6_packing, "op7_quality": op7_quality, "op9_simhash_dedup": op9_simhash_dedup}
+    return {"op1_lm_scoring": op1_lm_scoring, "op2_exact_dedup": op2_exact_dedup, "op3_mixing": op3_mixing, "op4_language_id": op4_language_id, "op6_packing": op6_packing, "op7_quality": op7_quality, "op9_simhash_dedup": op9_simhash_dedup, "op10_toxicity": op10_toxicity}
 
 
 _OP2 = r"""
