@@ -201,27 +201,40 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, rows_each: int = RO
     return QualityModel(weights, squares, bias, slope, shift, None if constant < 0 else constant)
 
 
-def scored(docs: DataFrame, model: QualityModel, carry: tuple[str, ...] = ()) -> DataFrame:
-    """The columns named in ``carry``, doc_id, score and predicted of every row of ``docs``.
+def _text_scores(model: QualityModel, texts: pa.Array, hasher: SpanHasher) -> np.ndarray:
+    data, offsets = text_buffer(texts)
+    scores = [np.zeros(0)]
+    for first, last in pieces_of(offsets):
+        scores.append(model.scores(*features(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], hasher)))
+    return np.concatenate(scores)
+
+
+def accepted(docs: DataFrame, model: QualityModel) -> DataFrame:
+    """The rows of ``docs`` with a score of at least 0.7, with all their columns; nothing is shuffled."""
+    shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = SpanHasher()
+        for batch in batches:
+            yield batch.filter(pa.array(_text_scores(shared.value, batch.column(at), hasher) >= THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def scored(docs: DataFrame, model: QualityModel) -> DataFrame:
+    """doc_id, score and predicted of every row of ``docs``.
 
     A score is the probability of label 1, from the whole text alone; null is an empty text. ``predicted`` is 1 from
-    0.7. Repeated rows get equal results, an empty table an empty one.
+    0.7. Repeated rows get equal results, an empty table an empty one, and other columns are left out.
     """
-    own = {f"carry_{i}": F.col(c) for i, c in enumerate(carry)}
-    rows = docs.select(*(c.alias(k) for k, c in own.items()), "doc_id", F.col("text").cast("string").alias("__text"))
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, model = SpanHasher(), shared.value
+        hasher = SpanHasher()
         for batch in batches:
-            kept = [i for i, n in enumerate(batch.schema.names) if n != "__text"]
-            data, offsets = text_buffer(batch.column(batch.schema.get_field_index("__text")))
-            scores = [np.zeros(0)]
-            for first, last in pieces_of(offsets):
-                scores.append(model.scores(*features(data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first], hasher)))
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in kept), pa.array(np.concatenate(scores))], names=[*(batch.schema.names[i] for i in kept), "score"])
-
-    kept = rows.drop("__text")
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.schema) + ", score double"
-    found = rows.mapInArrow(run, schema)
-    return found.select(*(F.col(k).alias(c) for k, c in zip(own, carry)), "doc_id", "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+            scores = _text_scores(shared.value, batch.column(1), hasher)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores)], names=["doc_id", "score"])
+
+    found = rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, score double")
+    return found.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))

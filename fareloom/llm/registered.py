@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import exact_dedup, language_id, lm_scoring, mixing, packing, quality, simhash_dedup, toxicity
+from fareloom.llm import exact_dedup, language_id, lm_scoring, mixing, packing, quality, simhash_dedup, token_counts, toxicity
 from fareloom.llm.common import documents, labels, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), vocabulary("piece_bpe_32k.model"))
+
+
 def op9_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(documents(spark, sf_dir)).drop("print")
 
@@ -60,7 +64,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_lm_scoring": op1_lm_scoring, "op2_exact_dedup": op2_exact_dedup, "op3_mixing": op3_mixing, "op4_language_id": op4_language_id, "op6_packing": op6_packing, "op7_quality": op7_quality, "op9_simhash_dedup": op9_simhash_dedup, "op10_toxicity": op10_toxicity}
+    return {"op1_lm_scoring": op1_lm_scoring, "op2_exact_dedup": op2_exact_dedup, "op3_mixing": op3_mixing, "op4_language_id": op4_language_id, "op6_packing": op6_packing, "op7_quality": op7_quality, "op8_token_counts": op8_token_counts, "op9_simhash_dedup": op9_simhash_dedup, "op10_toxicity": op10_toxicity}
 
 
 _OP2 = r"""
