@@ -4,7 +4,8 @@ The tokens of a pre-token are the segmentation with the best sum of unigram scor
 pre-tokens in a trie; each new node gets the best score of its prefix, reached from the nodes of shorter prefixes, so a
 shared prefix is worked out once. Nodes where a pre-token ends store its number of tokens, which later texts look up.
 
-Nothing is shuffled. A trie is dropped when it has ``MOST_NODES`` nodes; the counts do not depend on that.
+Nothing is shuffled. A trie is dropped when it has ``MOST_NODES`` nodes, and the counts taken from it after a text when
+there are ``MOST_WORDS``; results do not depend on that.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MOST_NODES = 300_000
+MOST_WORDS = 200_000
 MARK = "▁"
 
 
@@ -96,11 +98,12 @@ def _count(path: str):
                 if None in counts:
                     for word in sorted({p for p, n in zip(parts, counts) if n is None}):
                         known[word] = trie.insert(MARK + word)
+                        if len(trie.children) > MOST_NODES:
+                            trie.clear()
                     counts = list(map(known.get, parts))
                 words.append(len(parts))
                 sums.append(sum(counts))
-                if len(trie.children) > MOST_NODES:
-                    trie.clear()
+                if len(known) > MOST_WORDS:
                     known.clear()
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(words, np.int64)), pa.array(np.array(sums, np.int64))], names=["doc_id", "n_words", "n_tokens"])
 
