@@ -41,7 +41,7 @@ from fareloom.llm.common import (
 )
 
 HEAD_WORDS = 1 << 19
-FILTER_BYTES = 128 << 20
+FILTER_BYTES = 96 << 20
 BITS_PER_ENTRY = 10
 PROBES = 7
 LOG_BASE = 1.5
@@ -345,7 +345,7 @@ def _part(model: LanguageModel, kind: str, blocks: list[tuple[str, int]]) -> Fil
         return FilterPart(model.bits, [])
     table = model.words if kind == "words" else model.pairs
     rows = table.where(F.col("block").between(min(numbers), max(numbers))).select("block", "size", "bits").collect()
-    return FilterPart(model.bits, [(r["block"], r["size"], bytes(r["bits"])) for r in rows])
+    return FilterPart(model.bits, [(r["block"], r["size"], r["bits"]) for r in rows])
 
 
 # --- scoring -------------------------------------------------------------------------------------
