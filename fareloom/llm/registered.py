@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import exact_dedup, language_id, lm_scoring, mixing, packing, quality, simhash_dedup, token_counts, toxicity
+from fareloom.llm import exact_dedup, language_id, lm_scoring, mixing, packing, quality, search, simhash_dedup, token_counts, toxicity
 from fareloom.llm.common import documents, labels, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op5_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return search.search(docs, docs.where(F.col("doc_id") % 20 == 0).select(F.col("doc_id").alias("query_id"), "text"))
+
+
 def vocabulary(name: str) -> str:
     """Path of a public tokenizer file."""
     import public_tokenizers
@@ -64,7 +69,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_lm_scoring": op1_lm_scoring, "op2_exact_dedup": op2_exact_dedup, "op3_mixing": op3_mixing, "op4_language_id": op4_language_id, "op6_packing": op6_packing, "op7_quality": op7_quality, "op8_token_counts": op8_token_counts, "op9_simhash_dedup": op9_simhash_dedup, "op10_toxicity": op10_toxicity}
+    return {"op1_lm_scoring": op1_lm_scoring, "op2_exact_dedup": op2_exact_dedup, "op3_mixing": op3_mixing, "op4_language_id": op4_language_id, "op5_search": op5_search, "op6_packing": op6_packing, "op7_quality": op7_quality, "op8_token_counts": op8_token_counts, "op9_simhash_dedup": op9_simhash_dedup, "op10_toxicity": op10_toxicity}
 
 
 _OP2 = r"""
