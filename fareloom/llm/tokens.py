@@ -1,4 +1,4 @@
-"""Token ids of whole texts by a public tokenizer, with a bounded cache of pieces of text."""
+"""Token ids of whole texts by a public tokenizer, with bounded caches of pieces of text."""
 
 from __future__ import annotations
 
@@ -10,24 +10,66 @@ import numpy as np
 #: A byte-level BPE never joins what stands on both sides of a single space between two words.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 _ODD_SPACE = re.compile(r" \s|\s ")
+_SIGNS = frozenset(".,;:!?")
+
+
+def _byte_letters() -> dict[int, str]:
+    """How a byte-level BPE writes bytes: printable ones as themselves, the others from U+0100 on."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)}
 
 
 class TokenIds:
     """``encode`` gives the ids that the tokenizer gives for the whole text, as little-endian 32-bit integers.
 
     Texts are cut at single spaces, where the tokenizer itself always cuts, and each piece is tokenized once for as long
-    as it stays in the cache.
+    as it stays in the cache. A piece that is one word, or a word and a sign, goes to the tokenizer's model word by word;
+    any other piece goes through the whole tokenizer.
     """
 
     def __init__(self, path: str, entries: int = 300_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.entries, self.known = Tokenizer.from_file(path), entries, {}
+        self.tokenizer, self.entries = Tokenizer.from_file(path), entries
+        self.model, self.letters = self.tokenizer.model, _byte_letters()
+        self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a run of letters, with or without a space before it, or of one sign."""
+        ids = self.words.get(word)
+        if ids is None:
+            tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
+            ids = np.array([t.id for t in tokens], "<u4").tobytes()
+            if len(self.words) >= self.entries:
+                self.words.clear()
+            if len(word) < 40:
+                self.words[word] = ids
+        return ids
+
+    def _line(self, piece: str) -> bytes | None:
+        """Ids of a piece within one line, if it is a word or a word and a sign."""
+        bare = piece[1:] if piece[0] == " " else piece
+        if bare.isalpha():
+            return self._word(piece)
+        if bare[-1:] in _SIGNS and bare[:-1].isalpha():
+            return self._word(piece[:-1]) + self._word(piece[-1])
+        return None
 
-    def _new(self, pieces: list[str]) -> dict[str, bytes]:
-        found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(pieces, found)}
+    def _new(self, piece: str) -> bytes:
+        if "\n" in piece:
+            lines = piece.split("\n")
+            if all(x.strip() for x in lines):  # line breaks between words stand alone
+                found = [self._line(x) for x in lines]
+                if None not in found:
+                    return self._word("\n").join(found)
+        elif piece.strip():
+            found = self._line(piece)
+            if found is not None:
+                return found
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -39,11 +81,17 @@ class TokenIds:
             pieces[1:] = [" " + p for p in pieces[1:]]
         ids = list(map(self.known.get, pieces))
         if None in ids:
-            new = self._new(list({p for p, i in zip(pieces, ids) if i is None}))
-            ids = [new[p] if i is None else i for p, i in zip(pieces, ids)]
             if len(self.known) > self.entries:
                 self.known.clear()
-            self.known.update((p, i) for p, i in new.items() if len(p) < 40)
+            for i, found in enumerate(ids):
+                if found is None:
+                    piece = pieces[i]
+                    found = self.known.get(piece)
+                    if found is None:
+                        found = self._new(piece)
+                        if len(piece) < 40:
+                            self.known[piece] = found
+                    ids[i] = found
         return b"".join(ids)
 
 
