@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from fareloom.llm.common import ROW_KEY, WORD, stored, with_row_key
 
 BLOCK = 16
-SHARD_DOCS = 20_000
+SHARD_DOCS = 2_000
 SEED = "mix-1"
 MOST_TIMES = 3
 

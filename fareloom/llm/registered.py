@@ -109,7 +109,7 @@ with sized as (
   left join (select source, count(*) as quota from source_quotients where place <= seats group by source) q on s.source is not distinct from q.source
 ), placed as (
   select m.*, q.source_size, q.target, q.quota as source_quota,
-    ('0x' || substr(md5('mix-1|shard|' || m.mark), 1, 8))::bigint % ceil(q.docs / 20000)::bigint as shard
+    ('0x' || substr(md5('mix-1|shard|' || m.mark), 1, 8))::bigint % ceil(q.docs / 2000)::bigint as shard
   from marked m join source_quotas q on m.source is not distinct from q.source
 ), shards as (
   select source, shard, source_quota, sum(size)::bigint as shard_size from placed group by all
