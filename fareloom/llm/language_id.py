@@ -25,7 +25,7 @@ DOCS_EACH = 2000
 WORDS = 60_000
 GRAMS = 120_000
 LONGEST = 5
-SMOOTH = 0.5
+SMOOTH = 100.0  # occurrences of a language's share that follow all languages together
 NONE = "und"
 _CACHED = 200_000
 
@@ -110,7 +110,9 @@ def learn(docs: DataFrame, train: Column, docs_each: int = DOCS_EACH) -> Languag
 
 
 def _log_frequencies(table: np.ndarray) -> np.ndarray:
-    return np.log((table + SMOOTH) / (table.sum(axis=0) + SMOOTH * len(table)))
+    """Frequencies in each language, drawn a little to those in all, so that little text is no advantage."""
+    each = table.sum(axis=1, keepdims=True) / table.sum()
+    return np.log((table + SMOOTH * each) / (table.sum(axis=0) + SMOOTH))
 
 
 def _gram_frequencies(table: np.ndarray, lengths: list[int]) -> np.ndarray:

@@ -76,7 +76,7 @@ def mixed_documents(docs: DataFrame, carry: tuple[str, ...] = (), block: int = B
     """How many words of each document the mix takes; columns ``doc_id``, ``text`` and ``source`` are read.
 
     A document's size is its number of words; null and empty texts have size 0 and are taken 0 times. Null is a source of
-    its own. Rows with the same id and size share their places in a fixed but arbitrary order. An empty table gives
+    its own. What the mix takes of a source is a whole number of blocks, so less than half a block may be nothing. Rows with the same id and size share their places in a fixed but arbitrary order. An empty table gives
     an empty result. Returns the columns named in ``carry``, doc_id, size, source_size, target, taken, and where the
     part beyond whole copies lies: ``part_from`` and ``part_words`` (and the same for a second part, if the run of blocks
     goes over the shard's end within the document).
