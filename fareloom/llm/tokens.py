@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+import sys
+from array import array
 
 #: A byte-level BPE never joins what stands on both sides of a single space between two words.
 _CUT = re.compile(r"(?<=\S)(?= \S)")
@@ -20,6 +20,13 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in plain else chr(256 + others.index(b)) for b in range(256)}
 
 
+def _bytes_of(ids: list[int]) -> bytes:
+    values = array("I", ids)
+    if sys.byteorder == "big":
+        values.byteswap()
+    return values.tobytes()
+
+
 class TokenIds:
     """``encode`` gives the ids that the tokenizer gives for the whole text, as little-endian 32-bit integers.
 
@@ -28,7 +35,7 @@ class TokenIds:
     any other piece goes through the whole tokenizer.
     """
 
-    def __init__(self, path: str, entries: int = 300_000) -> None:
+    def __init__(self, path: str, entries: int = 600_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -41,8 +48,8 @@ class TokenIds:
         """Ids of a run of letters, with or without a space before it, or of one sign."""
         ids = self.words.get(word)
         if ids is None:
-            tokens = self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))
-            ids = np.array([t.id for t in tokens], "<u4").tobytes()
+            written = word.encode().decode("latin-1").translate(self.letters)
+            ids = _bytes_of([t.id for t in self.model.tokenize(written)])
             if len(self.words) >= self.entries:
                 self.words.clear()
             if len(word) < 40:
@@ -69,30 +76,31 @@ class TokenIds:
             found = self._line(piece)
             if found is not None:
                 return found
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
+        return _bytes_of(self.tokenizer.encode(piece, add_special_tokens=False).ids)
 
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
         if _ODD_SPACE.search(text):
-            pieces = _CUT.split(text)
+            first, *rest = _CUT.split(text)
+            rest = [p[1:] for p in rest]
         else:
-            pieces = text.split(" ")
-            pieces[1:] = [" " + p for p in pieces[1:]]
-        ids = list(map(self.known.get, pieces))
+            first, *rest = text.split(" ")
+        # The cache knows a piece by what follows its space.
+        ids = list(map(self.known.get, rest))
         if None in ids:
             if len(self.known) > self.entries:
                 self.known.clear()
             for i, found in enumerate(ids):
                 if found is None:
-                    piece = pieces[i]
+                    piece = rest[i]
                     found = self.known.get(piece)
                     if found is None:
-                        found = self._new(piece)
+                        found = self._new(" " + piece)
                         if len(piece) < 40:
                             self.known[piece] = found
                     ids[i] = found
-        return b"".join(ids)
+        return (self._new(first) if first else b"") + b"".join(ids)
 
 
 _loaded: dict[str, TokenIds] = {}
