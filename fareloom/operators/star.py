@@ -31,7 +31,7 @@ class Measure:
     name: str
     kind: str
     column: str | None = None
-    scale: int = MONEY
+    scale: int | None = MONEY  # digits kept; None for a column of whole numbers
 
 
 def count(name: str) -> Measure:
@@ -81,7 +81,7 @@ def _partial_columns(measures: list[Measure]) -> list[Column]:
     columns = {"_rows": F.count("*").alias("_rows")}
     for m in measures:
         if m.kind != "count":
-            columns[f"_sum_{m.column}"] = F.sum(units(F.col(m.column), m.scale)).alias(f"_sum_{m.column}")
+            columns[f"_sum_{m.column}"] = F.sum(F.col(m.column) if m.scale is None else units(F.col(m.column), m.scale)).alias(f"_sum_{m.column}")
         if m.kind == "mean":
             columns[f"_count_{m.column}"] = F.count(m.column).alias(f"_count_{m.column}")
     return list(columns.values())
@@ -90,7 +90,9 @@ def _partial_columns(measures: list[Measure]) -> list[Column]:
 def _final_column(m: Measure) -> Column:
     if m.kind == "count":
         return F.coalesce(F.sum("_rows"), F.lit(0)).alias(m.name)
-    value = from_units(F.sum(f"_sum_{m.column}"), m.scale)
+    value = F.sum(f"_sum_{m.column}")
+    if m.scale is not None:
+        value = from_units(value, m.scale)
     if m.kind == "mean":
         value = safe_divide(value, F.sum(f"_count_{m.column}"))
     return value.alias(m.name)

@@ -43,9 +43,9 @@ def answer(wh: Warehouse, question: str, max_rows: int = MAX_ROWS_DEFAULT, catal
 
 
 def named_result(wh: Warehouse, routed: Row) -> DataFrame | None:
-    """The named query of a routed question with its filters. Only rankings take a top-n."""
+    """The named query of a routed question with its filters. Only rankings take a top-n; "top 0" asks for nothing less."""
     window = DateWindow(routed.date_from, routed.date_to) if routed.date_from else None
-    service, metric, n = routed.service_type, routed.metric, routed.top_n
+    service, metric, n = routed.service_type, routed.metric, routed.top_n or None
     ranked = dict(window=window, service=service, metric=metric, n=n)
     if routed.intent == "vendor_analysis" and "year_month" in routed.expected_groupings:
         trend = queries.vendor_monthly_trend(wh, window, service)

@@ -30,7 +30,7 @@ class StoredWarehouse(Warehouse):
             write_table(self.silver_plan, self.path("silver"), MONTH, ("pickup_date",), rebalance=False)
         else:
             touched = self.silver_plan.where(in_months(months))
-            replace_partitions(touched, self.path("silver"), MONTH, ("pickup_date",), rebalance=False)
+            replace_partitions(touched, self.path("silver"), MONTH, months, ("pickup_date",), rebalance=False)
         self.__dict__["silver"] = self._read("silver", self.silver_plan)
 
     def build_gold(self) -> None:

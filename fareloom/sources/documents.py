@@ -50,8 +50,8 @@ def latest_documents(docs: DataFrame, key: Column) -> DataFrame:
 
 
 def find_run(docs: DataFrame, run_id: str) -> DataFrame:
-    """The newest document that carries the run id in its name or its content."""
-    named = F.col("file_name").contains(run_id) | (F.get_json_object("doc", "$.run_id") == run_id)
+    """The newest document that carries the run id in its path or its content."""
+    named = F.col("file_path").contains(run_id) | (F.get_json_object("doc", "$.run_id") == run_id)
     return docs.where(named).orderBy(F.desc("modified_at"), F.desc("file_path")).limit(1)
 
 

@@ -42,7 +42,7 @@ def rebuild_touched_months(
     def one_batch(batch: DataFrame, _: int) -> None:
         touched = [(r[0], r[1]) for r in batch.select(*MONTH).distinct().collect()]
         if touched:
-            replace_partitions(rebuild(touched), path, MONTH, ("pickup_date",), rebalance=False)
+            replace_partitions(rebuild(touched), path, MONTH, touched, ("pickup_date",), rebalance=False)
 
     return changes.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -109,4 +109,4 @@ def refresh_daily_kpis(silver: DataFrame, months: list[tuple[int, int]], path: s
     """Rewrite the mart's months that changed."""
     kpis = daily_kpis(silver.where(in_months(months)))
     dated = kpis.withColumns({"source_year": F.year("pickup_date"), "source_month": F.month("pickup_date")})
-    replace_partitions(dated, path, MONTH)
+    replace_partitions(dated, path, MONTH, months)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
 
@@ -58,13 +59,8 @@ def materialize(
     sort_by: tuple[str, ...] = (),
     rebalance: bool = True,
 ) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and return a scan of it.
-
-    Without a shared folder the plan is returned unchanged.
-    """
+    """Write ``df`` as Parquet in the shared folder and return a scan of it; fails where a cluster names no folder."""
     spark = df.sparkSession
-    if shared_root(spark) is None:
-        return df
     path = scratch_path(spark, name)
     write_table(df, path, partition_by, sort_by, rebalance=rebalance)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
@@ -97,9 +93,26 @@ def write_table(
     writer.parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...], sort_by: tuple[str, ...] = (), rebalance: bool = True) -> None:
-    """Overwrite only the partitions that occur in ``df``."""
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: tuple[str, ...], replaced: list[tuple], sort_by: tuple[str, ...] = (), rebalance: bool = True
+) -> None:
+    """Replace the partitions ``replaced`` (values of ``partition_by``) by the rows of ``df``.
+
+    Spark overwrites the partitions that got rows; those of the list that got none are removed afterwards.
+    """
     if rebalance:
         df = df.hint("rebalance", *partition_by)
-    writer = df.sortWithinPartitions(*partition_by, *sort_by).write.mode("overwrite")
+    seen = Observation()
+    written = F.collect_set(F.concat_ws("/", *(F.col(c).cast("string") for c in partition_by)))
+    writer = df.sortWithinPartitions(*partition_by, *sort_by).observe(seen, written.alias("written")).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    full = set(seen.get["written"])
+    emptied = [values for values in replaced if "/".join(map(str, values)) not in full]
+    remove_folders(df.sparkSession, ["/".join([path.rstrip("/"), *(f"{c}={v}" for c, v in zip(partition_by, values))]) for values in emptied])
+
+
+def remove_folders(spark: SparkSession, paths: list[str]) -> None:
+    """Remove folders through Spark's file systems; missing ones are left alone."""
+    for name in paths:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)

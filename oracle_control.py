@@ -378,7 +378,7 @@ def compare_sql() -> dict[str, str]:
 def governed_sql() -> dict[str, str]:
     n = "cast(sum(trip_count) as bigint)"
     return {
-        "governed_zone_ranking": f"""{WITH} select zone_name, borough, cast({n} as double) as trip_count, {exact('total_amount')} as total_amount
+        "governed_zone_ranking": f"""{WITH} select zone_name, borough, {n} as trip_count, {exact('total_amount')} as total_amount
             from zone_demand where {H1} and service_type = 'yellow_taxi' group by 1, 2 order by 3 desc, 2, 4, 1 limit 10""",
         "governed_borough_pairs": star(
             f"pz.borough as pickup_borough, dz.borough as dropoff_borough, count(*) as trip_count, {PRICE} as total_amount",

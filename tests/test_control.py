@@ -435,3 +435,23 @@ def test_audit_keeps_no_result_rows_and_never_fails_the_query(spark, tmp_path):
     blocked = tmp_path / "file"
     blocked.write_text("x")
     assert not sinks.append_audit(asked, f"{blocked}/audit")
+
+
+def test_text_that_looks_like_a_number_is_text(spark):
+    from fareloom.operators.compare import compare_results
+
+    left = spark.createDataFrame([("01", 1.0)], "code string, amount double")
+    same = left.select("code", (F.col("amount") + 1e-9).alias("amount"))
+    other = spark.createDataFrame([("1", 1.0)], "code string, amount double")
+    assert compare_results(left, same).first()[0] is True
+    assert compare_results(left, other).first()[0] is False
+
+
+def test_emptied_partitions_go(spark, tmp_path):
+    from fareloom.workspace import replace_partitions
+
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(2024, 1, "a"), (2024, 2, "b"), (2024, 3, "c")], "y int, m int, v string")
+    rows.write.partitionBy("y", "m").parquet(path)
+    replace_partitions(rows.where("m = 2").withColumn("v", F.lit("new")), path, ("y", "m"), [(2024, 1), (2024, 2)])
+    assert sorted(r.v for r in spark.read.parquet(path).collect()) == ["c", "new"]
