@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 MOST_NODES = 300_000
 MOST_WORDS = 200_000
 MARK = "▁"
+LETTERS = 0x110000  # code points
 
 
 class Unigrams:
@@ -36,6 +37,7 @@ class Unigrams:
         self.scores = {p: -math.log(i + 1) - math.log(total) for i, p in enumerate(pieces)}
         self.rarest = -math.log(len(pieces) + 1) - math.log(total)
         self.longest = max(map(len, pieces), default=1)
+        self.endings = {p[i:] for p in pieces for i in range(len(p))}
 
     @classmethod
     def from_file(cls, path: str) -> Unigrams:
@@ -54,7 +56,7 @@ class Trie:
         self.clear()
 
     def clear(self) -> None:
-        self.children: list[dict[str, int]] = [{}]
+        self.children: dict[int, int] = {}  # by node and character
         self.best, self.tokens = [0.0], [0]
 
     def insert(self, word: str) -> int:
@@ -62,26 +64,28 @@ class Trie:
         children, node, path = self.children, 0, [0]
         known = 0
         for c in word:
-            node = children[node].get(c, -1)
+            node = children.get(node * LETTERS + ord(c), -1)
             if node < 0:
                 break
             path.append(node)
             known += 1
-        scores, longest, best, tokens = self.unigrams.scores, self.unigrams.longest, self.best, self.tokens
+        scores, endings, best, tokens = self.unigrams.scores, self.unigrams.endings, self.best, self.tokens
         for end in range(known + 1, len(word) + 1):
             c = word[end - 1]
             width = len(c.encode("utf-8", "surrogatepass"))
             before = path[end - 1]
             top, count = best[before] + width * self.unigrams.rarest, tokens[before] + width
-            for start in range(max(0, end - longest), end):
-                score = scores.get(word[start:end])
+            for start in range(end - 1, -1, -1):
+                piece = word[start:end]
+                if piece not in endings:  # no longer piece ends like this
+                    break
+                score = scores.get(piece)
                 if score is not None:
                     score += best[path[start]]
                     if score > top or score == top and tokens[path[start]] + 1 < count:
                         top, count = score, tokens[path[start]] + 1
-            children[path[-1]][c] = len(children)
-            path.append(len(children))
-            children.append({})
+            children[before * LETTERS + ord(c)] = len(best)
+            path.append(len(best))
             best.append(top)
             tokens.append(count)
         return tokens[path[-1]]
@@ -98,7 +102,7 @@ def _count(path: str):
                 if None in counts:
                     for word in sorted({p for p, n in zip(parts, counts) if n is None}):
                         known[word] = trie.insert(MARK + word)
-                        if len(trie.children) > MOST_NODES:
+                        if len(trie.best) > MOST_NODES:
                             trie.clear()
                     counts = list(map(known.get, parts))
                 words.append(len(parts))
