@@ -52,6 +52,6 @@ def code_text(col: Column, type_name: str) -> Column:
 
 
 def close_to(a: Column, b: Column) -> Column:
-    """Equal within a relative tolerance; two NULLs are equal."""
+    """Equal within a relative tolerance; two NULLs are equal, and an infinity is close to itself alone."""
     bound = F.greatest(F.lit(REL_TOL) * F.greatest(F.abs(a), F.abs(b)), F.lit(ABS_TOL))
-    return a.eqNullSafe(b) | F.coalesce(F.abs(a - b) <= bound, F.lit(False))
+    return a.eqNullSafe(b) | F.coalesce((F.abs(a - b) <= bound) & (bound < float("inf")), F.lit(False))

@@ -366,9 +366,15 @@ def compare_sql() -> dict[str, str]:
         + """, s as (select pickup_zone_id, passenger_count, case service_type when 'yellow_taxi' then 1 else -1 end as w from silver)
             select pickup_zone_id, passenger_count, cast(sum(w) as bigint) as surplus from s group by 1, 2 having sum(w) <> 0""",
         "compare_results": WITH
-        + f"""select true as match, cast(count(distinct pz.borough) as integer) as agent_row_count,
-            cast(count(distinct pz.borough) as integer) as gold_row_count from silver f {PICKUP}
+        + f"""select true as match, count(distinct pz.borough) as agent_row_count,
+            count(distinct pz.borough) as gold_row_count from silver f {PICKUP}
             where f.{H1.replace(' and pickup', ' and f.pickup')}""",
+        "compare_ordered": WITH
+        + """select c.c = 'same order' or count(distinct pickup_date) < 2 as match, count(*) as agent_row_count, count(*) as gold_row_count, c.c as "case"
+            from daily, (values ('same order'), ('latest first')) c(c) group by c.c""",
+        "compare_exact": WITH
+        + """, p as (select count(*) as n, (select count(*) from (select distinct pickup_zone_id, passenger_count from silver)) as kinds from silver)
+            select true as match, 'same rows' as "case" union all select n = kinds, 'distinct rows' from p""",
         "rescore": """with c as (select o_custkey, count(distinct o_orderstatus) as statuses from orders group by 1)
             select o_custkey, case o_custkey % 5 when 3 then false when 4 then statuses = 1 else true end as rescored,
             (case o_custkey % 5 when 3 then false when 4 then statuses = 1 else true end) <> (o_custkey % 5 <> 1) as flipped from c""",

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.functions.dates import DateWindow, in_months
+from fareloom.functions.numbers import exact_sum
 from fareloom.functions.text import fold_text, key_part, run_document_key
-from fareloom.operators import compare, ingest, metrics, quality, typing
+from fareloom.operators import compare, ingest, matching, metrics, quality, typing
 from fareloom.operators.silver import silver_trips
 from fareloom.plans import queries as q
 from fareloom.plans.catalog import gold_catalog
@@ -226,7 +227,25 @@ def _difference(wh: Warehouse) -> DataFrame:
 def _compare(wh: Warehouse) -> DataFrame:
     mart = q.pickup_borough_demand(wh, H1)
     request = plan_request(gold_catalog(), ("pickup.borough",), ("trip_count", "total_amount"), roles=("pickup", "dropoff"), window=H1)
-    return compare.compare_results(governed_query(wh.table, gold_catalog(), request), mart)
+    return matching.compare_results(governed_query(wh.table, gold_catalog(), request), mart)
+
+
+def _ordered(wh: Warehouse) -> DataFrame:
+    """The daily mart in order against the same days summed from the fact, first with noise and then in another order."""
+    keys = ["pickup_date", "service_type"]
+    mart = wh.table("gold_daily_kpis").select(*keys, "trip_count", "total_amount").orderBy(*keys)
+    totals = wh.fact_trips.groupBy(*keys).agg(F.count("*").alias("n"), exact_sum(F.col("total_amount")).alias("total"))
+    noisy = totals.select((F.col("total") * (1 + 1e-8)).alias("total"), "n", *keys)
+    right = matching.compare_results(noisy.orderBy(*keys), mart, ordered=True)
+    wrong = matching.compare_results(noisy.orderBy(F.desc("pickup_date"), "service_type"), mart, ordered=True)
+    return right.withColumn("case", F.lit("same order")).union(wrong.withColumn("case", F.lit("latest first")))
+
+
+def _exact(wh: Warehouse) -> DataFrame:
+    """Zone and passenger pairs of the fact against themselves, and against their distinct pairs."""
+    pairs = wh.fact_trips.select("pickup_zone_id", "passenger_count")
+    same = matching.results_identical(pairs, wh.silver.select(*pairs.columns)).withColumn("case", F.lit("same rows"))
+    return same.union(matching.results_identical(pairs.distinct(), pairs).withColumn("case", F.lit("distinct rows")))
 
 
 def compare_queries() -> dict[str, Query]:
@@ -234,6 +253,8 @@ def compare_queries() -> dict[str, Query]:
         "tables_equal": over(lambda w: compare.tables_equal(w.silver_plan, w.silver)),
         "table_difference": over(_difference),
         "compare_results": over(_compare),
+        "compare_ordered": over(_ordered),
+        "compare_exact": over(_exact),
         "rescore": lambda s, d: compare.rescore(logs.saved_results(s, d)).select("o_custkey", "rescored", "flipped"),
     }
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fareloom.functions.dates import DateWindow, month_start_with_lag, previous_month_starts
 from fareloom.functions.text import fold_text, key_part, run_document_key
-from fareloom.operators import compare, ingest, metrics, quality, ranking, selection, typing
+from fareloom.operators import compare, ingest, matching, metrics, quality, ranking, selection, typing
 from fareloom.plans.catalog import gold_catalog, load_catalog, name_differences
 from fareloom.sources import documents, sinks
 
@@ -349,7 +349,7 @@ def test_tables_equal_counts_duplicates(spark):
 
 
 def match(spark, agent, gold, ordered=False):
-    return compare.compare_results(agent, gold, ordered).first().match
+    return matching.compare_results(agent, gold, ordered).first().match
 
 
 def test_result_comparison(spark):
@@ -369,18 +369,19 @@ def test_exact_comparison(spark):
     gold = spark.createDataFrame([("US", 2), ("UK", 1)], "country string, n int")
 
     def same(a, b, ordered=False):
-        return compare.results_identical(a, b, ordered).first().match
+        return matching.results_identical(a, b, ordered).first().match
 
     assert same(gold, gold) and same(gold.orderBy("n"), gold)
     assert not same(gold.select("n", "country"), gold) and not same(gold.select("country"), gold)
     assert same(gold.orderBy("n"), gold.orderBy("n"), True) and not same(gold.orderBy(F.desc("n")), gold.orderBy("n"), True)
 
 
-def test_wide_results_match_by_name_only(spark):
+def test_wide_results_match_by_content(spark):
     gold = spark.createDataFrame([(1, 2)], "a int, b int")
     wide = gold.select("*", *[F.lit(i).alias(f"c{i}") for i in range(8)])
     assert match(spark, wide, gold)
-    assert not match(spark, wide.withColumnRenamed("a", "z"), gold)
+    assert match(spark, wide.withColumnRenamed("a", "z"), gold)
+    assert not match(spark, wide.drop("a", "c1"), gold)
 
 
 def test_close_rows_are_matched_even_when_sorting_would_mislead(spark):
@@ -389,6 +390,35 @@ def test_close_rows_are_matched_even_when_sorting_would_mislead(spark):
     assert match(spark, agent, gold)
 
 
+def test_large_results_with_many_columns(spark):
+    rows = spark.range(100_000)
+    gold = rows.select(*[(F.col("id") * (i + 1) % 977 + F.lit(i) / 7).alias(f"n{i}") for i in range(10)], F.lit("same").alias("t"), F.col("id").cast("string").alias("k"))
+    noisy = gold.select(*[F.col(c) if c in "tk" else (F.col(c) * (1 + 3e-8)).alias(c) for c in reversed(gold.columns)])
+    assert match(spark, noisy, gold)
+    assert not match(spark, noisy.withColumn("n3", F.when(F.col("k") == "777", -1.0).otherwise(F.col("n3"))), gold)
+    equal = spark.range(100_000).select(*[F.lit(i).alias(f"c{i}") for i in range(12)])
+    assert match(spark, equal, equal) and not match(spark, equal.limit(99_999), equal)
+
+
+def test_odd_numbers_nulls_and_types_in_comparison(spark):
+    odd = spark.createDataFrame([(float("nan"), None, "a"), (float("inf"), None, None), (None, None, ""), (-0.0, None, "a")], "x double, none int, s string")
+    noisy = odd.select("s", F.col("none").cast("string").alias("z"), F.col("x") + 1e-9)
+    assert match(spark, noisy, odd) and matching.results_identical(odd, odd).first().match
+    assert not match(spark, odd.withColumn("x", F.when(F.col("x") == float("inf"), 5.0).otherwise(F.col("x"))), odd)
+    assert match(spark, odd.limit(0), odd.limit(0)) and not match(spark, odd.limit(0).select("x"), odd.limit(0))
+    one = spark.createDataFrame([(1,)], "n int")
+    assert not matching.results_identical(one, one.select(F.col("n").cast("string"))).first().match
+
+
+def test_close_rows_in_several_rounds(spark):
+    agent = spark.createDataFrame([(x,) for x in (1.0, 1.0, 1.0000004, 1.0000009)], "x double")
+    gold = spark.createDataFrame([(x,) for x in (1.0000001, 1.0000001, 1.0000005, 1.0000008)], "x double")
+    assert match(spark, agent, gold)
+    assert not match(spark, agent, gold.where("x < 1.0000003").union(gold.where("x < 1.0000003")).withColumn("x", F.col("x") - 1e-5))
+    twice = agent.select("x", F.col("x").alias("y"))
+    assert match(spark, twice, gold.select("x", F.col("x").alias("y")))
+
+
 def test_query_verification(spark):
     named = {
         "good": lambda: spark.range(1),
@@ -438,7 +468,7 @@ def test_audit_keeps_no_result_rows_and_never_fails_the_query(spark, tmp_path):
 
 
 def test_text_that_looks_like_a_number_is_text(spark):
-    from fareloom.operators.compare import compare_results
+    from fareloom.operators.matching import compare_results
 
     left = spark.createDataFrame([("01", 1.0)], "code string, amount double")
     same = left.select("code", (F.col("amount") + 1e-9).alias("amount"))
