@@ -323,3 +323,55 @@ def test_empty_tables(spark, docs, labels):
         toxicity.scored(none, toxic, tables),
     ):
         assert df.count() == 0
+
+
+def test_language_id_keeps_every_word_and_language(spark):
+    """A small language beside one with more distinct words than the former cap of 60,000."""
+
+    def word(i, letters):
+        return "".join(letters[i // len(letters) ** k % len(letters)] for k in range(6))
+
+    common = [(i, " ".join(2 * [word(i * 1750 + j, "abcdefgh") for j in range(1750)]), "xx") for i in range(40)]
+    rare = [(100, " ".join(word(j, "mnop") for j in range(20)), "yy"), (101, "你好世界今天天气", "zz")]
+    asked = [(200, " ".join(word(j, "mnop") for j in range(10)), None), (201, "世界今天", None), (202, word(69_999, "abcdefgh"), None)]
+    rows = spark.createDataFrame(common + rare + asked, "doc_id long, text string, lang string").repartition(4)
+    tables = language_id.learn(rows, F.lit(True))
+    assert tables.languages == ["xx", "yy", "zz"] and len(tables.words.keys) == 70_000 + 20 + 1
+    found = {r.doc_id: r.lang_pred for r in language_id.predict(rows, F.lit(True)).collect()}
+    assert (found[200], found[201], found[202], found[100], found[101]) == ("yy", "zz", "xx", "yy", "zz")
+
+
+def test_language_id_matches_plain_backoff(spark, docs):
+    """Probabilities against dense log frequencies of all words and n-grams."""
+    rows = [r for r in ROWS if r[1] and r[2]]
+    counts = defaultdict(Counter)
+    for _, text, lang, _ in rows:
+        counts[lang].update("".join(c if c.isalpha() else " " for c in text.lower()).split())
+    langs = sorted(counts)
+
+    def grams(word, n):
+        return [f"<{word}>"[i : i + n] for i in range(len(word) + 3 - n)]
+
+    weights = {n: {x: Counter() for x in langs} for n in range(6)}
+    for x in langs:
+        weights[0][x].update(counts[x])
+        for w, times in counts[x].items():
+            for n in range(1, 6):
+                for g in grams(w, n):
+                    weights[n][x][g] += math.log1p(times)
+    whole = {n: {x: sum(weights[n][x].values()) for x in langs} for n in range(6)}
+
+    def score(n, key, x):
+        each = sum(weights[n][y][key] for y in langs) / sum(whole[n].values())
+        return math.log((weights[n][x][key] + 100 * each) / (whole[n][x] + 100))
+
+    asked = "the hundy schliefen catmat qqq schlafhaus hund"
+    sums = dict.fromkeys(langs, 0.0)
+    for w in asked.split():
+        known = next(((n, k) for n, keys in [(0, [w]), *((n, grams(w, n)) for n in range(5, 0, -1))] if (k := [g for g in keys if any(weights[n][x][g] for x in langs)])), None)
+        for x in langs:
+            sums[x] += sum(score(known[0], g, x) for g in known[1]) / len(known[1]) if known else 0
+    best = max(langs, key=sums.get)
+    new = spark.createDataFrame([(900, asked, None)], "doc_id long, text string, lang string")
+    [got] = language_id.predict(docs.select("doc_id", "text", "lang").unionByName(new), F.lit(True)).where("doc_id = 900").collect()
+    assert got.lang_pred == best and math.isclose(got.score, 1 / sum(math.exp(v - sums[best]) for v in sums.values()), rel_tol=1e-4)
