@@ -17,9 +17,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 WHITE = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 
 #: Columns that tell rows apart; they never reach a caller.
-#: Most classes a classifier tells apart; the rarest beyond are not learned.
-MOST_CLASSES = 200
-
 ROW_KEY = ("__row_file", "__row_at")
 
 _IS_WHITE = np.zeros(256, dtype=bool)
@@ -77,15 +74,12 @@ def without_white_space(text: Column) -> Column:
 def bounded_sample(rows: DataFrame, by: str, most: int, key: Column) -> DataFrame:
     """At most ``most`` rows of each value of ``by``, chosen by a hash of ``key``; every value keeps its share of room.
 
-    Fewer rows than ``most`` are all taken. The values of ``by`` must be few: they are counted and listed in the plan.
+    Fewer rows than ``most`` are all taken. No value is left out: their counts are a table, of which each row holds its own.
     """
-    counts = rows.groupBy(by).count().where(F.col(by).isNotNull()).orderBy(F.desc("count"), by).limit(MOST_CLASSES).collect()
+    counts = rows.where(F.col(by).isNotNull()).groupBy(F.col(by).alias("__by")).agg(F.count("*").alias("__count"))
+    shares = counts.select("__by", F.floor((1 << 20) * F.least(F.lit(1.0), F.lit(float(most)) / F.col("__count"))).alias("__share"))
     draw = F.pmod(F.xxhash64(key, F.lit("sample")), F.lit(1 << 20))
-    chosen = F.lit(False)
-    for row in counts:
-        share = int((1 << 20) * min(1.0, most / row["count"]))
-        chosen = chosen | ((F.col(by) == row[by]) & (draw < share))
-    return rows.where(chosen)
+    return rows.join(F.broadcast(shares), F.col(by) == F.col("__by")).where(draw < F.col("__share")).select(*rows.columns)
 
 
 def text_blocks(bytes_in: int, bytes_each: int, most_bits: int = 24) -> int:

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from fareloom.llm import exact_dedup, language_id, lm_scoring, mixing, packing, quality, registered, search, simhash_dedup, token_counts, toxicity
-from fareloom.llm.common import remainder
+from fareloom.llm.common import bounded_sample, remainder
 from fareloom.llm.tokens import TokenIds
 
 LONG = " ".join(f"wort{i % 700}" for i in range(9000))
@@ -375,3 +375,11 @@ def test_language_id_matches_plain_backoff(spark, docs):
     new = spark.createDataFrame([(900, asked, None)], "doc_id long, text string, lang string")
     [got] = language_id.predict(docs.select("doc_id", "text", "lang").unionByName(new), F.lit(True)).where("doc_id = 900").collect()
     assert got.lang_pred == best and math.isclose(got.score, 1 / sum(math.exp(v - sums[best]) for v in sums.values()), rel_tol=1e-4)
+
+
+def test_sample_leaves_no_class_out(spark):
+    rows = spark.range(1200).select(F.col("id").alias("doc_id"), F.concat(F.lit("l"), F.col("id") % 300).alias("lang"))
+    more = spark.range(1200, 41_200).select(F.col("id").alias("doc_id"), F.lit("big").alias("lang"))
+    none = spark.range(5).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("lang"))
+    taken = dict(bounded_sample(rows.unionByName(more).unionByName(none), "lang", 1000, F.col("doc_id")).groupBy("lang").count().collect())
+    assert len(taken) == 301 and {taken[f"l{i}"] for i in range(300)} == {4} and 850 < taken["big"] < 1150
