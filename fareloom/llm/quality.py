@@ -179,7 +179,7 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, rows_each: int) -> DataFrame:
-    """(draw, label, text) of a bounded sample of the labelled rows where ``train`` holds.
+    """(draw, label, text, doc_id) of a bounded sample of the labelled rows where ``train`` holds.
 
     Only the labels are counted and drawn from; a document's text is read where its label was drawn. At most about
     ``2 * rows_each`` labels are broadcast.
@@ -187,7 +187,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(train & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).distinct()
     drawn = bounded_sample(known, "label", rows_each, F.col("doc_id"))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    return texts.join(F.broadcast(drawn), "doc_id").select(F.pmod(F.xxhash64("doc_id", F.lit("aside")), F.lit(1 << 30)).alias("draw"), "label", "text")
+    return texts.join(F.broadcast(drawn), "doc_id").select(F.pmod(F.xxhash64("doc_id", F.lit("aside")), F.lit(1 << 30)).alias("draw"), "label", "text", "doc_id")
 
 
 def learn(docs: DataFrame, labels: DataFrame, train: Column, rows_each: int = ROWS_EACH) -> QualityModel:

@@ -383,3 +383,17 @@ def test_sample_leaves_no_class_out(spark):
     none = spark.range(5).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("lang"))
     taken = dict(bounded_sample(rows.unionByName(more).unionByName(none), "lang", 1000, F.col("doc_id")).groupBy("lang").count().collect())
     assert len(taken) == 301 and {taken[f"l{i}"] for i in range(300)} == {4} and 850 < taken["big"] < 1150
+
+
+def test_toxicity_learns_from_one_row_of_each_document(spark, monkeypatch):
+    sizes = []
+    first = toxicity._one_each
+    monkeypatch.setattr(toxicity, "_one_each", lambda sample: (sizes.append((sample.count(), first(sample).count())), first(sample))[1])
+    rows = [(i, f"{'bad' if i % 2 else 'good'} words {i}", "en") for i in range(40)] + [(1, f"bad words again {i}", "en") for i in range(500)] + [(2, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    model, tables = toxicity.learn(docs, labels, F.lit(True))
+    assert sizes == [(541, 40)] and model.constant is None
+    assert toxicity.scored(docs, model, tables).count() == 541
+    once = docs.groupBy("doc_id").agg(F.min_by(F.struct("text", "lang"), F.xxhash64("text")).alias("r")).select("doc_id", "r.*")
+    assert np.array_equal(toxicity.learn(once, labels, F.lit(True))[0].last, model.last)
