@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import exact_dedup, language_id, lm_scoring, mixing, packing, quality, search, simhash_dedup, token_counts, toxicity
+from fareloom.llm import exact_dedup, language_id, lm_scoring, mixing, packing, periodic_runs, quality, search, simhash_dedup, token_counts, toxicity
 from fareloom.llm.common import documents, labels, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,8 +68,24 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, model, tables).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.with_planted_repeats(documents(spark, sf_dir))))
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_lm_scoring": op1_lm_scoring, "op2_exact_dedup": op2_exact_dedup, "op3_mixing": op3_mixing, "op4_language_id": op4_language_id, "op5_search": op5_search, "op6_packing": op6_packing, "op7_quality": op7_quality, "op8_token_counts": op8_token_counts, "op9_simhash_dedup": op9_simhash_dedup, "op10_toxicity": op10_toxicity}
+    return {
+        "op1_lm_scoring": op1_lm_scoring,
+        "op2_exact_dedup": op2_exact_dedup,
+        "op3_mixing": op3_mixing,
+        "op4_language_id": op4_language_id,
+        "op5_search": op5_search,
+        "op6_packing": op6_packing,
+        "op7_quality": op7_quality,
+        "op8_token_counts": op8_token_counts,
+        "op9_simhash_dedup": op9_simhash_dedup,
+        "op10_toxicity": op10_toxicity,
+        "op11_periodic_runs": op11_periodic_runs,
+    }
 
 
 _OP2 = r"""
@@ -141,5 +157,45 @@ from lined l join runs r on l.source is not distinct from r.source and l.shard =
 """
 
 
+_OP11 = r"""
+with bytes as (
+  select doc_id, text, list_transform(string_split(doc_id::varchar, ''), lambda c: ord(c)) as codes from documents
+), sums as (
+  select doc_id, text, xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(codes, lambda c: c::bigint)), lambda crc, b:
+    list_reduce(list_prepend(xor(crc, b), range(8)), lambda x, step: xor(x >> 1, 3988292384 * (x & 1))))) as h from bytes
+), original as (
+  select doc_id, h, h // 10 as g, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) as words from sums
+), sized as (
+  select *, len(words) as n, case when len(words) > 0 then g % len(words) end as a from original
+), bent as (
+  select *, 1 + (n - a) // (3 + g % 8) as p from sized
+), texts as (
+  select doc_id, n, case when h % 10 = 0 and n > 0
+    then list_transform(range(n), lambda i: words[1 + case when i < a then i else a + (i - a) % p end]) else words end as words from bent
+), word as (
+  select doc_id, n, unnest(range(n)) as i, unnest(words) as w from texts
+), matches as (
+  select b.doc_id, b.i, b.i - a.i as lag from word a join word b on a.doc_id = b.doc_id and a.w = b.w and a.i < b.i and 4 * (b.i - a.i) <= b.n
+), grouped as (
+  select *, i - row_number() over (partition by doc_id, lag order by i) as island from matches
+), stretches as (
+  select doc_id, lag, min(i) - lag as start, count(*) + lag as length from grouped group by doc_id, lag, island
+), runs as (
+  select doc_id, start, length, min(lag) as period from stretches where length >= greatest(6, 4 * lag) group by doc_id, start, length
+), best as (
+  select *, row_number() over (partition by doc_id order by length desc, start, period) as place from runs
+), listed as (
+  select doc_id, count(*) as n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' order by start, period) as lines from runs group by doc_id
+), kept as (
+  select doc_id, string_agg(w, ' ' order by i) as body from word
+  where not exists (select 1 from runs r where r.doc_id = word.doc_id and word.i >= r.start + r.period and word.i < r.start + r.length)
+  group by doc_id
+)
+select t.doc_id, coalesce(l.n_runs, 0)::bigint as n_runs, b.start, b.length, b.period, (1000 * b.length // b.period)::bigint as exponent_milli,
+  sha256(coalesce(l.lines, '')) as runs_sha256, sha256(coalesce(k.body, '')) as collapsed_sha256
+from texts t left join listed l using (doc_id) left join best b on b.doc_id = t.doc_id and b.place = 1 left join kept k on k.doc_id = t.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": _OP2, "op3_mixing": _OP3}
+    return {"op2_exact_dedup": _OP2, "op3_mixing": _OP3, "op11_periodic_runs": _OP11}
