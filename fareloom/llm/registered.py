@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import exact_dedup, language_id, lm_scoring, mixing, packing, periodic_runs, quality, search, simhash_dedup, token_counts, toxicity
+from fareloom.llm import exact_dedup, language_id, lm_scoring, mixing, packing, periodic_runs, quality, search, simhash_dedup, source_audit, token_counts, toxicity
 from fareloom.llm.common import documents, labels, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.with_planted_repeats(documents(spark, sf_dir))))
 
 
+def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(documents(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_lm_scoring": op1_lm_scoring,
@@ -85,6 +89,7 @@ def queries() -> dict[str, Query]:
         "op9_simhash_dedup": op9_simhash_dedup,
         "op10_toxicity": op10_toxicity,
         "op11_periodic_runs": op11_periodic_runs,
+        "op13_source_audit": op13_source_audit,
     }
 
 
@@ -197,5 +202,42 @@ from texts t left join listed l using (doc_id) left join best b on b.doc_id = t.
 """
 
 
+_OP13 = r"""
+with numbered as (
+  select row_number() over () as no, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as body from documents
+), words as (
+  select no, lang, source, unnest(regexp_extract_all(body, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as word from numbered
+), terms as (
+  select no, lang, source, translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as term from words
+), kept as (
+  select lang, term, count(*) as total from terms group by lang, term having count(distinct no) >= 30
+), langs as (
+  select lang, count(*) as v, sum(total) as lang_total from kept group by lang
+), counts as (
+  select lang, source, term, count(*) as n from terms semi join kept using (lang, term) group by all
+), groups as (
+  select g.lang, g.source, coalesce(l.v, 0)::hugeint as v, coalesce(l.lang_total, 0)::hugeint as lang_total, coalesce(c.own, 0)::hugeint as own
+  from (select distinct coalesce(lang, '') as lang, coalesce(source, '') as source from documents) g
+  left join langs l using (lang) left join (select lang, source, sum(n) as own from counts group by all) c using (lang, source)
+), shares as (
+  select g.lang, g.source, k.term, coalesce(c.n, 0) as n, 1 + (1000000000::hugeint * (coalesce(c.n, 0) + 5)) // (g.own + 5 * g.v) as p,
+    1 + (1000000000::hugeint * (k.total + 5)) // (g.lang_total + 5 * g.v) as lang_p
+  from groups g join kept k using (lang) left join counts c using (lang, source, term)
+), pairs as (
+  select a.lang, a.source, b.source as item, coalesce(s.value, 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join (
+    select x.lang, x.source, y.source as item, sum(abs(x.p - y.p)) as value from shares x join shares y using (lang, term) group by all
+  ) s on s.lang = a.lang and s.source = a.source and s.item = b.source
+), ranked as (
+  select lang, source, 'pair' as part, item, value, row_number() over (partition by lang, source order by value desc, item) as rank from pairs
+  union all
+  select lang, source, 'term', term, (p - lang_p)::bigint, row_number() over (partition by lang, source order by p - lang_p desc, term)
+  from shares where n > 0 and p > lang_p
+)
+select lang, source, part, item, value, rank::int as rank from ranked where part = 'pair' or rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": _OP2, "op3_mixing": _OP3, "op11_periodic_runs": _OP11}
+    return {"op2_exact_dedup": _OP2, "op3_mixing": _OP3, "op11_periodic_runs": _OP11, "op13_source_audit": _OP13}
