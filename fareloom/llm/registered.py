@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.llm import exact_dedup, language_id, lm_scoring, mixing, packing, periodic_runs, quality, search, simhash_dedup, source_audit, token_counts, toxicity
+from fareloom.llm import exact_dedup, language_id, lm_scoring, mixing, packing, periodic_runs, pii, quality, search, simhash_dedup, source_audit, token_counts, toxicity
 from fareloom.llm.common import documents, labels, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.digests(periodic_runs.periodic_runs(periodic_runs.with_planted_repeats(documents(spark, sf_dir))))
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digests(pii.personal_data(documents(spark, sf_dir)))
+
+
 def op13_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_audit.audit(documents(spark, sf_dir))
 
@@ -89,6 +93,7 @@ def queries() -> dict[str, Query]:
         "op9_simhash_dedup": op9_simhash_dedup,
         "op10_toxicity": op10_toxicity,
         "op11_periodic_runs": op11_periodic_runs,
+        "op12_pii": op12_pii,
         "op13_source_audit": op13_source_audit,
     }
 
