@@ -233,8 +233,8 @@ def _compare(wh: Warehouse) -> DataFrame:
 def _ordered(wh: Warehouse) -> DataFrame:
     """The daily mart in order against the same days summed from the fact, first with noise and then in another order."""
     keys = ["pickup_date", "service_type"]
-    mart = wh.table("gold_daily_kpis").select(*keys, "trip_count", "total_amount").orderBy(*keys)
-    totals = wh.fact_trips.groupBy(*keys).agg(F.count("*").alias("n"), exact_sum(F.col("total_amount")).alias("total"))
+    mart = wh.table("gold_daily_kpis").select(*keys, "trip_count", "total_fare_amount").orderBy(*keys)
+    totals = wh.fact_trips.groupBy(*keys).agg(F.count("*").alias("n"), exact_sum(F.col("fare_amount")).alias("total"))
     noisy = totals.select((F.col("total") * (1 + 1e-8)).alias("total"), "n", *keys)
     right = matching.compare_results(noisy.orderBy(*keys), mart, ordered=True)
     wrong = matching.compare_results(noisy.orderBy(F.desc("pickup_date"), "service_type"), mart, ordered=True)
