@@ -1,37 +1,69 @@
-"""Exact arithmetic on money and distances, guarded division, tolerant equality."""
+"""Exact sums of doubles, guarded division, tolerant equality."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = 2
-MEAN = 9
-
 # The tolerances of a result comparison.
 REL_TOL = 1e-6
 ABS_TOL = 1e-6
 
 
-def units(col: Column, scale: int = MONEY) -> Column:
-    """The value as a whole number of 10^-scale units.
+# --- sums of doubles that do not depend on the order of rows ---------------------------------------
+#
+# A value is cut into whole numbers of at most 24 bits, its limbs, worth 2^24, 1, 2^-24, 2^-48 and 2^-72 each. Limbs are
+# summed as BIGINT, so partial sums may meet in any order, and a lost and recomputed task gives the same digits. Every
+# double below 2^48 that is a multiple of 2^-72 is its limbs exactly, which money and distances are. What limbs cannot
+# hold (infinities, NaN, values from 2^48 on, what is left below 2^-72) is summed as a double beside them, so nothing is
+# rounded away; only that part depends on the order.
+
+LIMB_BITS = 24
+LIMBS = ("l0", "l1", "l2", "l3", "l4")
+REST = "rest"
+_LARGEST = float(2**48)
+_MASK = (1 << LIMB_BITS) - 1
+
+
+def _scaled(value: Column, limb: int) -> Column:
+    """The value in whole units of the given limb, rounded; scaling by a power of two is exact."""
+    return F.rint(value * F.lit(2.0 ** (LIMB_BITS * (limb - 1))))
+
+
+def sum_state(col: Column) -> Column:
+    """An aggregate: the exact sum of the non-null values as one struct, to be merged and finished."""
+    x = col.cast("double")
+    held = F.abs(x) < _LARGEST
+    value = F.when(held, x).when(x.isNotNull(), 0.0)
+    limbs = [_scaled(value, 0)]
+    limbs += [_scaled(value, i) - _scaled(value, i - 1) * float(1 << LIMB_BITS) for i in range(1, len(LIMBS))]
+    finest = 2.0 ** (LIMB_BITS * (len(LIMBS) - 2))
+    rest = F.when(held, (x * finest - _scaled(x, len(LIMBS) - 1)) / finest).otherwise(x)
+    return F.struct(*[F.sum(limb.cast("long")).alias(name) for limb, name in zip(limbs, LIMBS)], F.sum(rest).alias(REST))
+
 
-    Sums of whole numbers do not depend on the order in which partial results arrive, so a lost
-    and recomputed task cannot change a total in its last digits.
-    """
-    return F.rint(col.cast("double") * F.lit(float(10**scale))).cast("long")
+def merged_state(state: str) -> Column:
+    """An aggregate: the state over all rows of which column ``state`` holds partial ones."""
+    return F.struct(*[F.sum(F.col(state)[name]).alias(name) for name in (*LIMBS, REST)])
 
 
-def from_units(col: Column, scale: int = MONEY) -> Column:
-    return col.cast("double") / F.lit(float(10**scale))
+def state_value(state: Column) -> Column:
+    """The double next to the exact sum; NULL without values, NaN with one, as in a plain sum."""
+    l0, l1, l2, l3, l4 = (state[name] for name in LIMBS)
+    l3 = l3 + F.shiftright(l4, LIMB_BITS)
+    l2 = l2 + F.shiftright(l3, LIMB_BITS)
+    whole = l0.cast("double") * float(1 << LIMB_BITS) + (l1 + F.shiftright(l2, LIMB_BITS)).cast("double")
+    upper = F.shiftleft(l2.bitwiseAND(F.lit(_MASK)), LIMB_BITS).bitwiseOR(l3.bitwiseAND(F.lit(_MASK)))
+    lower = l4.bitwiseAND(F.lit(_MASK)).cast("double") * 2.0**-72
+    return whole + (upper.cast("double") * 2.0**-48 + lower) + state[REST]
 
 
-def exact_sum(col: Column, scale: int = MONEY) -> Column:
-    return from_units(F.sum(units(col, scale)), scale)
+def exact_sum(col: Column) -> Column:
+    return state_value(sum_state(col))
 
 
-def exact_mean(col: Column, scale: int = MONEY) -> Column:
-    return safe_divide(exact_sum(col, scale), F.count(col))
+def exact_mean(col: Column) -> Column:
+    return safe_divide(exact_sum(col), F.count(col))
 
 
 def safe_divide(num: Column, den: Column) -> Column:

@@ -67,9 +67,9 @@ def share_of_total(grouped: DataFrame, value: str, name: str = "share_pct", digi
     return grouped.select("*", F.round(share, digits).alias(name))
 
 
-def weighted_mean(value: Column, weight: Column, scale: int) -> Column:
+def weighted_mean(value: Column, weight: Column) -> Column:
     """Sum of value x weight over the sum of weights, NULL when the weights sum to zero."""
-    return safe_divide(exact_sum(value * weight, scale), F.sum(weight))
+    return safe_divide(exact_sum(value * weight), F.sum(weight))
 
 
 def pivot_sum(df: DataFrame, index: str, series: str, value: str, names: list) -> DataFrame:

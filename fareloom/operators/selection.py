@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareloom.functions.numbers import from_units, units
-
 DIGIT_BITS = 16
 
 
@@ -18,22 +16,24 @@ def exact_percentiles(
     scale: int = 6,
     bits: int = 48,
 ) -> DataFrame:
-    """For each group, the values at given 1-based ranks of the sorted non-null values.
+    """For each group, the values at given 1-based ranks of the sorted non-null values; NaN sorts last.
 
-    ``ranks`` maps an output column to an SQL expression of ``n``, the group's row count. Values
-    are kept to ``scale`` decimals. They are turned into whole numbers and found digit by digit, 16 bits at a time: counting the
-    rows per leading digit tells which digit the wanted rank falls under. A step handles at most
-    65,536 counts per group and rank, however many rows or distinct values the group has. ``bits`` is the
-    width the values are expected to need; wider ones are still found, through a longer first step.
+    ``ranks`` maps an output column to an SQL expression of ``n``, the group's row count. Values are sorted into cells of
+    10^-scale, numbered with ``bits`` bits; values beyond share the outermost cells. The cell of a rank is found digit by
+    digit, 16 bits at a time: counting the rows per leading digit tells which digit the wanted rank falls under. A step
+    handles at most 65,536 counts per group and rank, however many rows or distinct values the group has. Among the
+    values of the last cell the rank's own is then looked up, so results are values of the column, not rounded ones.
     """
     groups = list(group_by or [])
     steps = bits // DIGIT_BITS
-    number = units(F.col(value), scale)
     counted = (
         df.where(F.col(value).isNotNull())
-        .groupBy(*groups, number.alias("_v"))
+        .groupBy(*groups, F.col(value).cast("double").alias("_value"))
         .agg(F.count("*").alias("_n"))
     )
+    edge = float(2 ** (bits - 1) - 1)
+    cell = F.least(F.greatest(F.col("_value") * float(10**scale), F.lit(-edge)), F.lit(edge))
+    counted = counted.withColumn("_v", F.floor(F.nanvl(cell, F.lit(edge))).cast("long"))
     # Shifting makes the leading digit of negative numbers sort below that of positive ones.
     digits = [
         (F.shiftright("_v", DIGIT_BITS * (steps - 1 - i)) if i == 0 else
@@ -41,7 +41,7 @@ def exact_percentiles(
         for i in range(steps)
     ]
     digit_names = [f"_d{i}" for i in range(steps)]
-    counted = counted.select(*groups, "_v", "_n", *digits)
+    counted = counted.select(*groups, "_value", "_n", *digits)
 
     asked = F.array(
         *[F.struct(F.lit(k).alias("_name"), F.expr(e).cast("long").alias("_rank")) for k, e in ranks.items()]
@@ -55,10 +55,9 @@ def exact_percentiles(
         below = _join_nulls(wanted, counted.select(*keys, digit_names[i], "_n"), keys)
         level = below.groupBy(*keys, "_name", "_rank", digit_names[i]).agg(F.sum("_n").alias("_n"))
         wanted = _holding(level, keys, digit_names[i])
-    found = F.col(digit_names[0])
-    for name in digit_names[1:]:
-        found = F.shiftleft(found, DIGIT_BITS).bitwiseOR(F.col(name))
-    result = wanted.withColumn("_value", from_units(found, scale))
+    keys = [*groups, *digit_names]
+    inside = _join_nulls(wanted, counted.select(*keys, "_value", "_n"), keys)
+    result = _holding(inside, [*keys, "_rank"], "_value")
     return result.groupBy(*groups).agg(
         *[F.max(F.when(F.col("_name") == k, F.col("_value"))).alias(k) for k in ranks]
     )

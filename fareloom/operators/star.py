@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareloom.functions.numbers import MONEY, from_units, safe_divide, units
+from fareloom.functions.numbers import merged_state, safe_divide, state_value, sum_state
 
 
 @dataclass(frozen=True)
@@ -31,19 +31,19 @@ class Measure:
     name: str
     kind: str
     column: str | None = None
-    scale: int | None = MONEY  # digits kept; None for a column of whole numbers
+    whole: bool = False  # a column of whole numbers, summed as it is
 
 
 def count(name: str) -> Measure:
     return Measure(name, "count")
 
 
-def total(name: str, column: str, scale: int = MONEY) -> Measure:
-    return Measure(name, "sum", column, scale)
+def total(name: str, column: str) -> Measure:
+    return Measure(name, "sum", column)
 
 
-def mean(name: str, column: str, scale: int = MONEY) -> Measure:
-    return Measure(name, "mean", column, scale)
+def mean(name: str, column: str) -> Measure:
+    return Measure(name, "mean", column)
 
 
 def star_rollup(
@@ -81,7 +81,7 @@ def _partial_columns(measures: list[Measure]) -> list[Column]:
     columns = {"_rows": F.count("*").alias("_rows")}
     for m in measures:
         if m.kind != "count":
-            columns[f"_sum_{m.column}"] = F.sum(F.col(m.column) if m.scale is None else units(F.col(m.column), m.scale)).alias(f"_sum_{m.column}")
+            columns[f"_sum_{m.column}"] = (F.sum(m.column) if m.whole else sum_state(F.col(m.column))).alias(f"_sum_{m.column}")
         if m.kind == "mean":
             columns[f"_count_{m.column}"] = F.count(m.column).alias(f"_count_{m.column}")
     return list(columns.values())
@@ -90,9 +90,7 @@ def _partial_columns(measures: list[Measure]) -> list[Column]:
 def _final_column(m: Measure) -> Column:
     if m.kind == "count":
         return F.coalesce(F.sum("_rows"), F.lit(0)).alias(m.name)
-    value = F.sum(f"_sum_{m.column}")
-    if m.scale is not None:
-        value = from_units(value, m.scale)
+    value = F.sum(f"_sum_{m.column}") if m.whole else state_value(merged_state(f"_sum_{m.column}"))
     if m.kind == "mean":
         value = safe_divide(value, F.sum(f"_count_{m.column}"))
     return value.alias(m.name)

@@ -9,7 +9,7 @@ from pyspark.sql import Window as RowWindow
 from pyspark.sql import functions as F
 
 from fareloom.functions.dates import DateWindow, between_days, year_month
-from fareloom.functions.numbers import MEAN, exact_mean, exact_sum, from_units, units
+from fareloom.functions.numbers import exact_mean, exact_sum, merged_state, state_value, sum_state
 from fareloom.operators.ranking import rank_metric, share_of_total, top_n, weighted_mean
 from fareloom.operators.selection import exact_median
 from fareloom.operators.star import Lookup, count, mean, star_rollup, total
@@ -59,7 +59,7 @@ def monthly_service_kpi(wh: Warehouse, metric: str, window: Window = None) -> Da
     """One metric per month and service; the distance is the mean of the daily means."""
     value = {
         "trip_count": F.sum("trip_count"),
-        "avg_trip_distance": exact_mean(F.col("avg_trip_distance"), MEAN),
+        "avg_trip_distance": exact_mean(F.col("avg_trip_distance")),
         "total_fare_amount": exact_sum(F.col("total_fare_amount")),
     }[metric]
     kpis = narrowed(wh.gold_daily_kpis, window)
@@ -191,8 +191,8 @@ def dashboard_cards(wh: Warehouse, window: Window = None) -> DataFrame:
     return narrowed(wh.gold_daily_kpis, window).agg(
         F.sum("trip_count").alias("total_trips"),
         exact_sum(F.col("total_fare_amount")).alias("total_fare"),
-        exact_mean(F.col("avg_trip_distance"), MEAN).alias("mean_of_daily_means"),
-        F.round(weighted_mean(F.col("avg_trip_distance"), F.col("trip_count"), 6), 6).alias("weighted_mean_distance"),
+        exact_mean(F.col("avg_trip_distance")).alias("mean_of_daily_means"),
+        F.round(weighted_mean(F.col("avg_trip_distance"), F.col("trip_count")), 6).alias("weighted_mean_distance"),
     )
 
 
@@ -204,7 +204,7 @@ def monthly_fare(wh: Warehouse, window: Window = None) -> DataFrame:
 
 def distance_by_service(wh: Warehouse, window: Window = None) -> DataFrame:
     kpis = narrowed(wh.gold_daily_kpis, window)
-    return kpis.groupBy("service_type").agg(exact_mean(F.col("avg_trip_distance"), MEAN).alias("avg_trip_distance"))
+    return kpis.groupBy("service_type").agg(exact_mean(F.col("avg_trip_distance")).alias("avg_trip_distance"))
 
 
 def top10_zones(wh: Warehouse, window: Window = None) -> DataFrame:
@@ -248,7 +248,7 @@ def insight_shares(wh: Warehouse, window: Window = None) -> DataFrame:
     under every insight it has a dimension row for.
     """
     keyed = narrowed(wh.fact_trips, window).groupBy("pickup_zone_id", "payment_type").agg(
-        F.count("*").alias("n"), F.sum(units(F.col("total_amount"))).alias("cents")
+        F.count("*").alias("n"), sum_state(F.col("total_amount")).alias("amount")
     )
     zones = wh.dim_zone.select(F.col("zone_id").alias("pickup_zone_id"), "borough", "zone_name", "service_zone", F.lit(True).alias("has_zone"))
     payments = wh.dim_payment_type.withColumn("has_payment", F.lit(True))
@@ -265,8 +265,8 @@ def insight_shares(wh: Warehouse, window: Window = None) -> DataFrame:
             entry("airport_revenue", "zone_name", F.col("service_zone") == "Airports"),
         )
     )
-    grouped = labelled.select("n", "cents", F.inline(entries)).groupBy("insight", "group_name").agg(
-        F.sum("n").alias("trips"), from_units(F.sum("cents")).alias("revenue")
+    grouped = labelled.select("n", "amount", F.inline(entries)).groupBy("insight", "group_name").agg(
+        F.sum("n").alias("trips"), state_value(merged_state("amount")).alias("revenue")
     )
     # One row per label by now, so the window holds no more rows than the dimension has labels.
     all_trips = F.sum("trips").over(RowWindow.partitionBy("insight"))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareloom.functions.numbers import from_units, units
 from fareloom.sources.feeds import GREEN, YELLOW, FeedSpec
 from fareloom.workspace import materialize
 
@@ -36,11 +35,7 @@ def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     shipped = F.col("l_shipdate")
     filed = F.when(F.col("l_orderkey") % 50 == 0, F.add_months(shipped, -1)).otherwise(F.to_date(shipped))
-    # Price, discount and tax have two decimals; their product is exact in millionths.
-    millionths = (
-        units(F.col("l_extendedprice")) * (F.lit(100) - units(F.col("l_discount"))) * (F.lit(100) + units(F.col("l_tax")))
-    )
-    cents = F.signum(millionths) * F.floor((F.abs(millionths) + 5000) / 10000)
+    amount = F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax"))
     return (
         lines.join(orders.join(customers, "o_custkey"), "l_orderkey")
         .join(suppliers, "l_suppkey")
@@ -58,7 +53,7 @@ def order_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.col("l_orderkey") % 97 == 0, -F.col("l_extendedprice"))
             .otherwise(F.col("l_extendedprice"))
             .alias("fare_amount"),
-            from_units(cents).alias("total_amount"),
+            amount.alias("total_amount"),
             "payment_type",
         )
     )

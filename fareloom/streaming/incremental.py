@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from fareloom.functions.dates import in_months
-from fareloom.functions.numbers import from_units, safe_divide, units
+from fareloom.functions.numbers import safe_divide, state_value, sum_state
 from fareloom.operators.gold import daily_kpis
 from fareloom.operators.silver import silver_trips
 from fareloom.sources.feeds import FeedSpec, bronze_feed, conform_feed
@@ -53,7 +53,7 @@ def stream_daily_kpis(silver: DataFrame, delay: str | None = None) -> DataFrame:
     Without ``delay`` nothing is ever too late, and the state grows by one row per service and day.
     With it, days older than the delay are closed: their state is freed and later rows are ignored.
     The event time is built from the pickup date, so windows are calendar days in any session time
-    zone. Sums are kept as whole units, from which ``finish_daily_kpis`` derives the averages.
+    zone. Sums are kept as exact states, from which ``finish_daily_kpis`` derives the averages.
     """
     timed = silver.withColumn("event_time", F.timestamp_seconds(F.unix_date("pickup_date").cast("long") * 86400))
     if delay is not None:
@@ -61,8 +61,8 @@ def stream_daily_kpis(silver: DataFrame, delay: str | None = None) -> DataFrame:
     grouped = timed.groupBy(F.window("event_time", "1 day"), "service_type")
     counted = grouped.agg(
         F.count("*").alias("trip_count"),
-        F.sum(units(F.col("fare_amount"))).alias("fare_units"),
-        F.sum(units(F.col("trip_distance"))).alias("distance_units"),
+        sum_state(F.col("fare_amount")).alias("fares"),
+        sum_state(F.col("trip_distance")).alias("distances"),
         F.count("trip_distance").alias("distance_rows"),
     )
     day = F.date_from_unix_date((F.unix_seconds(F.col("window.start")) / 86400).cast("int"))
@@ -74,8 +74,8 @@ def finish_daily_kpis(states: DataFrame) -> DataFrame:
         "service_type",
         "pickup_date",
         "trip_count",
-        from_units(F.col("fare_units")).alias("total_fare_amount"),
-        safe_divide(from_units(F.col("distance_units")), F.col("distance_rows")).alias("avg_trip_distance"),
+        state_value(F.col("fares")).alias("total_fare_amount"),
+        safe_divide(state_value(F.col("distances")), F.col("distance_rows")).alias("avg_trip_distance"),
     )
 
 

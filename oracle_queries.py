@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-MONEY = "decimal(18,2)"
+UNIT = float(2**64)
 
 
-def exact(col: str, scale: int = 2) -> str:
-    return f"cast(sum(cast({col} as decimal(18,{scale}))) as double)"
+def exact(col: str) -> str:
+    """The double next to the exact sum: values as whole multiples of 2^-64, which they are in the given tables."""
+    return f"cast(sum(cast({col} * {UNIT:.1f} as hugeint)) as double) / {UNIT:.1f}"
 
 
-def avg(col: str, scale: int = 2) -> str:
-    return f"cast(sum(cast({col} as decimal(18,{scale}))) as double) / nullif(count({col}), 0)"
+def avg(col: str) -> str:
+    return f"{exact(col)} / nullif(count({col}), 0)"
 
 
 RAW = """
@@ -22,8 +23,7 @@ raw as (
          cast(s_nationkey as integer) as pickup_zone_id, cast(c_nationkey as integer) as dropoff_zone_id,
          cast(l_linenumber as integer) as passenger_count, cast(l_quantity as double) as trip_distance,
          cast(case when l_orderkey % 97 = 0 then -l_extendedprice else l_extendedprice end as double) as fare_amount,
-         cast(cast(cast(l_extendedprice as decimal(18,2)) * (1 - cast(l_discount as decimal(18,2)))
-              * (1 + cast(l_tax as decimal(18,2))) as decimal(18,2)) as double) as total_amount,
+         l_extendedprice * (1 - l_discount) * (1 + l_tax) as total_amount,
          case when o_orderpriority like '4%' then null else substr(o_orderpriority, 1, 1) end as payment_type
   from (select *, case when l_orderkey % 50 = 0 then l_shipdate - interval 1 month else l_shipdate end as filed
         from lineitem) l
@@ -189,7 +189,7 @@ def question_sql() -> dict[str, str]:
     return {
         "monthly_service_comparison": mart.format(f"{MONTH} as month, service_type, {N} as trip_count", "daily", "group by 1, 2"),
         "monthly_service_distance": mart.format(
-            f"{MONTH} as month, service_type, {avg('avg_trip_distance', 9)} as avg_trip_distance", "daily", "group by 1, 2"
+            f"{MONTH} as month, service_type, {avg('avg_trip_distance')} as avg_trip_distance", "daily", "group by 1, 2"
         ),
         "monthly_service_fare": mart.format(
             f"{MONTH} as month, service_type, {exact('total_fare_amount')} as total_fare_amount", "daily", "group by 1, 2"
@@ -255,13 +255,12 @@ def question_sql() -> dict[str, str]:
         ),
         "dashboard_cards": mart.format(
             f"{N} as total_trips, {exact('total_fare_amount')} as total_fare, "
-            f"{avg('avg_trip_distance', 9)} as mean_of_daily_means, "
-            "round(cast(sum(cast(avg_trip_distance * trip_count as decimal(18,6))) as double) / sum(trip_count), 6) "
-            "as weighted_mean_distance", "daily", "",
+            f"{avg('avg_trip_distance')} as mean_of_daily_means, "
+            f"round({exact('avg_trip_distance * trip_count')} / sum(trip_count), 6) as weighted_mean_distance", "daily", "",
         ),
         "monthly_fare": mart.format(f"{MONTH} as month, {exact('total_fare_amount')} as total_fare_amount", "daily", "group by 1"),
         "distance_by_service": mart.format(
-            f"service_type, {avg('avg_trip_distance', 9)} as avg_trip_distance", "daily", "group by 1"
+            f"service_type, {avg('avg_trip_distance')} as avg_trip_distance", "daily", "group by 1"
         ),
         "top10_zones": mart.format(f"zone_name, {N} as trip_count", "zone_demand", "group by 1 order by 2 desc, 1 limit 10"),
         "borough_demand": mart.format(
