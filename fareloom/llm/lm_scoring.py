@@ -8,8 +8,10 @@ more than its block.
 Smoothing: absolute discounting of pairs over add-one words. Discount and back-off weight belong to classes of
 histories of similar count, whose pair statistics come from the pass that builds the filter.
 
-A scorer broadcasts the filter in rounds of at most ``FILTER_BYTES``. When the filter is larger, each round probes its
-own blocks and stores the levels found, and the last round scores; the scores are the same for any number of rounds.
+A scorer broadcasts the filter in rounds of at most ``FILTER_BYTES``. Texts are read and cut into words once, in pieces
+of many rows; the different n-grams of a piece are stored by the round whose blocks they fall into. A round reads its own
+n-grams only and stores their levels, and at the end each piece meets its levels and is scored. So every n-gram of a piece
+is probed in one round, whatever their number, and the scores are the same for any number of rounds.
 
 The base score needs exact counts. The commonest words (at most ``HEAD_WORDS``) are broadcast; the rest of the words of
 each document are looked up by a join, in which no word has more rows than its count, and that is below the head's.
@@ -17,7 +19,7 @@ each document are looked up by a join, in which no word has more rows than its c
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,9 +41,11 @@ from fareloom.llm.common import (
     text_bytes,
     word_spans,
 )
+from fareloom.workspace import remove_folders, scratch_path
 
 HEAD_WORDS = 1 << 19
-FILTER_BYTES = 96 << 20
+FILTER_BYTES = 32 << 20
+PIECE_BYTES = 8 << 20  # of text, whose different n-grams are probed once
 BITS_PER_ENTRY = 10
 PROBES = 7
 LOG_BASE = 1.5
@@ -79,10 +83,10 @@ def _place(keys: np.ndarray, level: int, probe: int, sizes: np.ndarray | np.uint
     return (((h & _LOW) * sizes) >> np.uint64(32)).astype(np.int64)
 
 
-def filter_block(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, int]:
+def filter_block(keys: np.ndarray, counts: np.ndarray, per_entry: int = BITS_PER_ENTRY) -> tuple[bytes, int]:
     """The bits of one block, and how many there are."""
     levels = level_of(counts)
-    size = max(64, int(levels.sum()) * BITS_PER_ENTRY)
+    size = max(64, int(levels.sum()) * per_entry)
     bits = np.zeros(size, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
         own = keys[levels >= level]
@@ -94,15 +98,20 @@ def filter_block(keys: np.ndarray, counts: np.ndarray) -> tuple[bytes, int]:
 class FilterPart:
     """The blocks of one kind of n-gram that a round holds."""
 
-    def __init__(self, bits: int, blocks: list[tuple[int, int, bytes]]) -> None:
+    def __init__(self, bits: int, blocks: Iterable[tuple[int, int, bytes]], most: int | None = None) -> None:
+        """``blocks`` are (number, bits, data); from an iterator they are copied one by one into ``most`` bytes."""
+        if most is None:
+            blocks = list(blocks)
+            most = sum(len(data) for *_, data in blocks)
         self.bits = bits
         self.sizes = np.zeros(1 << bits, np.uint64)
         self.starts = np.zeros(1 << bits, np.int64)
+        self.data = np.zeros(max(1, most), np.uint8)
         at = 0
         for block, size, data in blocks:
             self.sizes[block], self.starts[block] = size, at * 8
+            self.data[at : at + len(data)] = np.frombuffer(data, np.uint8)
             at += len(data)
-        self.data = np.frombuffer(b"".join(b[2] for b in blocks), np.uint8) if blocks else np.zeros(1, np.uint8)
 
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """Level of each n-gram; 0 for one that is not there or not in this round."""
@@ -206,9 +215,9 @@ def _merge(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 _WORD_BLOCKS = "block long, keys binary, counts binary, bits binary, size long, total long, distinct long"
 
 
-def _word_block(key: tuple, table: pa.Table) -> pa.Table:
+def _word_block(key: tuple, table: pa.Table, per_entry: int) -> pa.Table:
     keys, counts = _merge(table)
-    bits, size = filter_block(keys, counts)
+    bits, size = filter_block(keys, counts, per_entry)
     columns = (key[0].as_py(), keys.tobytes(), counts.astype("<u8").tobytes(), bits, size, int(counts.sum()), len(keys))
     names = [c.split()[0] for c in _WORD_BLOCKS.split(", ")]
     kinds = [pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
@@ -218,9 +227,9 @@ def _word_block(key: tuple, table: pa.Table) -> pa.Table:
 _PAIR_BLOCKS = "block long, bits binary, size long, stats array<long>"
 
 
-def _pair_block(key: tuple, table: pa.Table) -> pa.Table:
+def _pair_block(key: tuple, table: pa.Table, per_entry: int) -> pa.Table:
     keys, counts = _merge(table)
-    bits, size = filter_block(keys, counts)
+    bits, size = filter_block(keys, counts, per_entry)
     classes = (keys & _CLASS_BITS).astype(np.int64)
     stats = np.concatenate(
         [
@@ -282,7 +291,7 @@ class LanguageModel:
     backoff: np.ndarray
 
 
-def train(texts: DataFrame, head_words: int = HEAD_WORDS) -> LanguageModel:
+def train(texts: DataFrame, head_words: int = HEAD_WORDS, per_entry: int = BITS_PER_ENTRY) -> LanguageModel:
     """Count words and pairs of all rows of ``texts`` (column ``text``; null is an empty text).
 
     Without rows the model has no tokens and gives every token the probability 1 of the add-one rule.
@@ -292,7 +301,7 @@ def train(texts: DataFrame, head_words: int = HEAD_WORDS) -> LanguageModel:
     words = stored(
         texts.mapInArrow(_counting(bits, lambda tokens, counts: tokens), _COUNTS_SCHEMA)
         .groupBy("block")
-        .applyInArrow(_word_block, _WORD_BLOCKS),
+        .applyInArrow(lambda key, table: _word_block(key, table, per_entry), _WORD_BLOCKS),
         "lm_words",
     )
     total = words.agg(F.sum("total").alias("n"), F.sum("distinct").alias("v")).first()
@@ -315,7 +324,10 @@ def train(texts: DataFrame, head_words: int = HEAD_WORDS) -> LanguageModel:
         return _pair_keys(before, tokens, _classes(before, *shared.value))
 
     pairs = stored(
-        texts.mapInArrow(_counting(bits, pair_keys), _COUNTS_SCHEMA).groupBy("block").applyInArrow(_pair_block, _PAIR_BLOCKS), "lm_pairs"
+        texts.mapInArrow(_counting(bits, pair_keys), _COUNTS_SCHEMA)
+        .groupBy("block")
+        .applyInArrow(lambda key, table: _pair_block(key, table, per_entry), _PAIR_BLOCKS),
+        "lm_pairs",
     )
     stats = np.zeros(4 * CLASSES)
     for row in pairs.select(F.posexplode("stats").alias("at", "n")).groupBy("at").agg(F.sum("n").alias("n")).collect():
@@ -326,112 +338,155 @@ def train(texts: DataFrame, head_words: int = HEAD_WORDS) -> LanguageModel:
     return LanguageModel(bits, words, pairs, total["n"] or 0, total["v"] or 0, int(seen[_BEGIN_CLASS]), keys, head_counts, head_from, discount, backoff)
 
 
-def filter_rounds(model: LanguageModel, most: int = FILTER_BYTES) -> list[list[tuple[str, int]]]:
-    """The filter's blocks, in rounds of at most ``most`` bytes. Only block numbers and sizes are read."""
-    rounds, room = [[]], most
+def filter_rounds(model: LanguageModel, most: int = FILTER_BYTES) -> list[dict[tuple[str, int], int]]:
+    """Bytes of the filter's blocks, by kind and number, in rounds of at most ``most`` bytes. Only numbers and sizes are read."""
+    rounds, room = [{}], most
     for kind, table in (("words", model.words), ("pairs", model.pairs)):
         for row in table.select("block", "size").orderBy("block").toLocalIterator():
-            room -= row["size"] // 8 + 1
+            size = -(-row["size"] // 8)
+            room -= size
             if room < 0 and rounds[-1]:
-                rounds.append([])
-                room = most - row["size"] // 8 - 1
-            rounds[-1].append((kind, row["block"]))
+                rounds.append({})
+                room = most - size
+            rounds[-1][kind, row["block"]] = size
     return rounds
 
 
-def _part(model: LanguageModel, kind: str, blocks: list[tuple[str, int]]) -> FilterPart:
-    numbers = [b for k, b in blocks if k == kind]
+def _part(model: LanguageModel, kind: str, sizes: dict[tuple[str, int], int]) -> FilterPart:
+    numbers = [b for k, b in sizes if k == kind]
     if not numbers:
-        return FilterPart(model.bits, [])
+        return FilterPart(model.bits, ())
     table = model.words if kind == "words" else model.pairs
-    rows = table.where(F.col("block").between(min(numbers), max(numbers))).select("block", "size", "bits").collect()
-    return FilterPart(model.bits, [(r["block"], r["size"], r["bits"]) for r in rows])
+    rows = table.where(F.col("block").between(min(numbers), max(numbers))).select("block", "size", "bits").toLocalIterator()
+    blocks = ((r["block"], r["size"], r["bits"]) for r in rows)
+    return FilterPart(model.bits, blocks, sum(n for (k, _), n in sizes.items() if k == kind))
 
 
 # --- scoring -------------------------------------------------------------------------------------
 
+_KINDS = ("words", "pairs")
 
-def _unique_levels(part: FilterPart, keys: np.ndarray) -> np.ndarray:
-    distinct, back = np.unique(keys, return_inverse=True)
-    return part.levels(distinct)[back]
 
+def _pieces(carried: int, most: int):
+    """Rows in pieces: the carried columns as lists, tokens in each row, different words, and which of them each token is."""
+
+    def piece(columns: list[list], counts: list[np.ndarray], tokens: list[np.ndarray], types: list[pa.DataType]) -> pa.RecordBatch:
+        words, at = np.unique(np.concatenate(tokens), return_inverse=True)
+        arrays = [pa.array([c], pa.list_(t)) for c, t in zip(columns, types)]
+        arrays += [pa.array([v.astype(t).tobytes()], pa.binary()) for v, t in ((np.concatenate(counts), "<u4"), (words, "<u8"), (at, "<u4"))]
+        return pa.RecordBatch.from_arrays(arrays, [*(f"own_{i}" for i in range(carried)), "counts", "words", "at"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher, columns, counts, tokens, size, types = SpanHasher(), [[] for _ in range(carried)], [], [], 0, []
+        for batch in batches:
+            types = [batch.schema.field(i).type for i in range(carried)]
+            for first, last, found, sizes in _sequences(batch.column(carried), hasher):
+                if size and size + 8 * len(found) > most:
+                    yield piece(columns, counts, tokens, types)
+                    columns, counts, tokens, size = [[] for _ in range(carried)], [], [], 0
+                for i in range(carried):
+                    columns[i] += batch.column(i).slice(first, last - first).to_pylist()
+                counts.append(sizes)
+                tokens.append(found)
+                size += 8 * len(found)
+        if counts:
+            yield piece(columns, counts, tokens, types)
+
+    return run
 
-class _Scorer:
-    """Scores runs of rows. ``final`` is False for a round after which more blocks follow."""
 
-    def __init__(self, shared, final: bool) -> None:
-        self.shared, self.final = shared, final
+class _Piece:
+    """The tokens of one piece, its different words and pairs in the order of their hashes."""
 
-    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = SpanHasher()
+    def __init__(self, counts: bytes, words: bytes, at: bytes, head_keys: np.ndarray, head_levels: np.ndarray) -> None:
+        self.counts = np.frombuffer(counts, "<u4").astype(np.int64)
+        self.words, self.at = np.frombuffer(words, "<u8"), np.frombuffer(at, "<u4")
+        self.tokens = self.words[self.at]
+        before = _histories(self.tokens, self.counts)
+        self.classes = _classes(before, head_keys, head_levels)
+        self.pairs = _pair_keys(before, self.tokens, self.classes)
+
+
+def _split(shared, round_of: dict[str, np.ndarray], bits: int):
+    """The different words and pairs of each piece by the round that holds their block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            text, codes = batch.column("text"), batch.column("codes")
-            out = {name: [] for name in ("codes", "n_tokens", "n_known", "base", "score", "words", "times")}
-            for first, last, tokens, counts in _sequences(text, hasher):
-                found = self._found(tokens, counts, codes.slice(first, last - first))
-                cuts = np.concatenate(([0], np.cumsum(counts)))
-                if not self.final:
-                    out["codes"] += [found[:, a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
-                    continue
-                out["n_tokens"].append(counts)
-                out["score"].append(summed_rows(np.log10(self._probabilities(tokens, counts, found)), counts))
-                self._base(tokens, counts, out)
-            if self.final:
-                arrays = [pa.array(np.concatenate(out[n]) if out[n] else [], t) for n, t in (("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()))]
-                arrays += [pa.array(out[n], pa.binary()) for n in ("words", "times")]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("held_out"), *arrays],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "words", "times"],
-                )
-            else:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("held_out"), text, pa.array(out["codes"], pa.binary())], names=["doc_id", "held_out", "text", "codes"]
-                )
+            for number, counts, words, at in zip(*(batch.column(c) for c in ("piece", "counts", "words", "at"))):
+                piece = _Piece(counts.as_py(), words.as_py(), at.as_py(), *shared.value)
+                rows = []
+                for kind, keys in zip(_KINDS, (piece.words, np.unique(piece.pairs))):
+                    rounds = round_of[kind][(keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)]
+                    edges = np.flatnonzero(np.diff(rounds, prepend=-2, append=-2))
+                    rows += [(kind, int(rounds[a]), keys[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:])]
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays([pa.array([number.as_py()] * len(rows), pa.int64()), *columns], ["piece", "kind", "round", "keys"])
 
-    def _found(self, tokens: np.ndarray, counts: np.ndarray, codes: pa.Array) -> np.ndarray:
-        """Levels of each token and of its pair, with what earlier rounds found."""
-        head_keys, head_counts, words, pairs, *_ = self.shared.value
-        before = _histories(tokens, counts)
-        keys = _pair_keys(before, tokens, _classes(before, head_keys, level_of(head_counts)))
-        found = np.stack([_unique_levels(words, tokens), _unique_levels(pairs, keys)])
-        if not codes.null_count:
-            at = 0
-            for n, code in zip(counts, codes):
-                found[:, at : at + n] |= np.frombuffer(code.as_py(), np.uint8).reshape(2, n)
-                at += n
-        return found
+    return run
 
-    def _probabilities(self, tokens: np.ndarray, counts: np.ndarray, found: np.ndarray) -> np.ndarray:
-        head_keys, head_counts, _, _, total, vocabulary, texts, discount, backoff = self.shared.value
+
+def _probed(shared):
+    """The levels of a round's n-grams, found by probing its part of the filter."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            levels = [shared.value[kind.as_py()].levels(np.frombuffer(keys.as_py(), "<u8")).tobytes() for kind, keys in zip(batch.column("kind"), batch.column("keys"))]
+            yield pa.RecordBatch.from_arrays([batch.column("piece"), batch.column("kind"), pa.array(levels, pa.binary())], ["piece", "kind", "levels"])
+
+    return run
+
+
+class _Scorer:
+    """Scores the rows of one piece, given the levels of its n-grams round by round."""
+
+    def __init__(self, shared, carried: int) -> None:
+        self.shared, self.carried = shared, carried
+
+    def __call__(self, pieces: pa.Table, levels: pa.Table) -> pa.Table:
+        row = {c: pieces[c][0] for c in pieces.schema.names}
+        piece = _Piece(row["counts"].as_py(), row["words"].as_py(), row["at"].as_py(), *self.shared.value[:2])
+        levels = levels.sort_by("round")
+        of = {kind: b"".join(v.as_py() for k, v in zip(levels["kind"], levels["levels"]) if k.as_py() == kind) for kind in _KINDS}
+        distinct, back = np.unique(piece.pairs, return_inverse=True)
+        found = np.stack([np.frombuffer(of["words"], np.uint8)[piece.at], np.frombuffer(of["pairs"], np.uint8)[back]])
+        scores = summed_rows(np.log10(self._probabilities(piece, found)), piece.counts)
+        own = [pieces[f"own_{i}"].combine_chunks().flatten() for i in range(self.carried)]
+        names = [*(f"own_{i}" for i in range(self.carried)), "n_tokens", "n_known", "base", "score", "words", "times"]
+        return pa.table([*own, *self._base(piece, scores)], names)
+
+    def _probabilities(self, piece: _Piece, found: np.ndarray) -> np.ndarray:
+        total, vocabulary, texts, discount, backoff = self.shared.value[3:]
         own = LEVEL_COUNT[found[0]]
         single = (own + 1.0) / (total + vocabulary + 1.0)
-        starts = np.cumsum(counts) - counts
         before = np.empty_like(own)
         before[1:] = own[:-1]
-        before[starts] = texts
-        classes = _classes(_histories(tokens, counts), head_keys, level_of(head_counts)).astype(np.int64)
+        before[np.cumsum(piece.counts) - piece.counts] = texts
+        classes = piece.classes.astype(np.int64)
         pair = np.minimum(LEVEL_COUNT[found[1]], np.minimum(own, before))
         seen = before > 0
         weight = np.where(seen, backoff[classes], 1.0)
         direct = np.where(seen, np.maximum(pair - discount[classes], 0.0) / np.maximum(before, 1.0), 0.0)
         return np.minimum(direct + weight * single, 1.0)
 
-    def _base(self, tokens: np.ndarray, counts: np.ndarray, out: dict) -> None:
+    def _base(self, piece: _Piece, scores: np.ndarray) -> list[pa.Array]:
         """Exact sums over head words; the other words of each row with their times."""
-        head_keys, head_counts = self.shared.value[:2]
+        head_keys, _, head_counts = self.shared.value[:3]
+        tokens, counts = piece.tokens, piece.counts
         hit, logs = np.zeros(len(tokens), bool), np.zeros(len(tokens))
         if len(head_keys):
-            at = np.minimum(np.searchsorted(head_keys, tokens), len(head_keys) - 1)
-            hit = head_keys[at] == tokens
-            logs[hit] = np.log10(head_counts[at[hit]] + 1.0)
-        out["base"].append(summed_rows(logs, counts))
-        out["n_known"].append(summed_rows(hit.astype(np.float64), counts).astype(np.int64))
+            at = np.minimum(np.searchsorted(head_keys, piece.words), len(head_keys) - 1)
+            known, of = head_keys[at] == piece.words, np.log10(head_counts[at] + 1.0)
+            hit, logs = known[piece.at], np.where(known, of, 0.0)[piece.at]
         cuts = np.concatenate(([0], np.cumsum(counts)))
-        rest = ~hit
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            words, times = counted(tokens[a:b][rest[a:b]])
-            out["words"].append(words.tobytes())
-            out["times"].append(times.astype("<u4").tobytes())
+        rest = [counted(tokens[a:b][~hit[a:b]]) for a, b in zip(cuts[:-1], cuts[1:])]
+        return [
+            pa.array(counts, pa.int64()),
+            pa.array(summed_rows(hit.astype(np.float64), counts).astype(np.int64)),
+            pa.array(summed_rows(logs, counts)),
+            pa.array(scores),
+            pa.array([words.tobytes() for words, _ in rest], pa.binary()),
+            pa.array([times.astype("<u4").tobytes() for _, times in rest], pa.binary()),
+        ]
 
 
 def _rest_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -453,34 +508,56 @@ def _rest_batch(held: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate([h[i] for h in held])) for i in range(3)], names=["row", "word", "times"])
 
 
-def score_documents(docs: DataFrame, held_out: Column, filter_bytes: int = FILTER_BYTES, head_words: int = HEAD_WORDS) -> DataFrame:
+def score_documents(
+    docs: DataFrame,
+    held_out: Column,
+    filter_bytes: int = FILTER_BYTES,
+    head_words: int = HEAD_WORDS,
+    piece_bytes: int = PIECE_BYTES,
+    per_entry: int = BITS_PER_ENTRY,
+) -> DataFrame:
     """Base and model scores of every row of ``docs`` (columns ``doc_id`` and ``text``, others are left out).
 
     The model learns from the rows where ``held_out`` is false. A null text is an empty one: it consists of its end.
     Rows with the same id are scored each by itself. An empty table gives an empty result. Texts of any length are read
-    whole. Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+    whole, one at a time if longer than a piece. Words are told apart by a 64-bit hash. Returns doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
     """
     spark = docs.sparkSession
-    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
-    model = train(docs.where(~F.col("held_out")), head_words)
+    docs = docs.select("doc_id", held_out.alias("held_out"), F.col("text").cast("string").alias("text"))
+    model = train(docs.where(~F.col("held_out")), head_words, per_entry)
     rounds = filter_rounds(model, filter_bytes)
-    work = docs.select("doc_id", "held_out", "text", F.lit(None).cast("binary").alias("codes"))
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    for i, blocks in enumerate(rounds):
-        shared = spark.sparkContext.broadcast(
-            (
-                model.head_keys, model.head_counts, _part(model, "words", blocks), _part(model, "pairs", blocks),
-                float(model.tokens), float(model.vocabulary), float(model.texts), model.discount, model.backoff,
-            )
-        )
-        last = i + 1 == len(rounds)
-        if last:
-            schema = f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base double, score double, words binary, times binary"
-            work = work.mapInArrow(_Scorer(shared, True), schema).withColumn("row", F.monotonically_increasing_id())
-        else:
-            work = work.mapInArrow(_Scorer(shared, False), f"doc_id {id_type}, held_out boolean, text string, codes binary")
-        work = stored(work, f"lm_round_{i}")
-        shared.unpersist()
+    round_of = {kind: np.full(1 << model.bits, -1) for kind in _KINDS}
+    for number, sizes in enumerate(rounds):
+        for kind, block in sizes:
+            round_of[kind][block] = number
+
+    kind_of = lambda c: docs.schema[c].dataType.simpleString()
+    pieces = docs.mapInArrow(_pieces(2, piece_bytes), f"own_0 array<{kind_of('doc_id')}>, own_1 array<boolean>, counts binary, words binary, at binary")
+    pieces = stored(pieces.withColumn("piece", F.monotonically_increasing_id()), "lm_pieces")
+    head = spark.sparkContext.broadcast((model.head_keys, level_of(model.head_counts)))
+    asked = scratch_path(spark, "lm_ngrams")
+    split = pieces.select("piece", "counts", "words", "at").mapInArrow(_split(head, round_of, model.bits), "piece long, kind string, round long, keys binary")
+    split.write.partitionBy("round").option("compression", "zstd").parquet(asked)
+    ngrams = spark.read.schema("piece long, kind string, keys binary, round long").parquet(asked)
+    found = scratch_path(spark, "lm_levels")
+    for number, sizes in [(-1, {}), *enumerate(rounds)]:  # -1: n-grams of blocks that the filter does not have
+        part = spark.sparkContext.broadcast({kind: _part(model, kind, sizes) for kind in _KINDS})
+        levels = ngrams.where(F.col("round") == number).select("piece", "kind", "keys").mapInArrow(_probed(part), "piece long, kind string, levels binary")
+        levels.write.option("compression", "zstd").parquet(f"{found}/round={number}")
+        part.unpersist()
+        remove_folders(spark, [f"{asked}/round={number}"])
+    levels = spark.read.schema("piece long, kind string, levels binary, round long").parquet(found)
+    shared = spark.sparkContext.broadcast(
+        (
+            model.head_keys, level_of(model.head_counts), model.head_counts,
+            float(model.tokens), float(model.vocabulary), float(model.texts), model.discount, model.backoff,
+        )
+    )
+    schema = f"own_0 {kind_of('doc_id')}, own_1 boolean, n_tokens long, n_known long, base double, score double, words binary, times binary"
+    score = _Scorer(shared, 2)
+    scored = pieces.groupBy("piece").cogroup(levels.groupBy("piece")).applyInArrow(lambda piece, levels: score(piece, levels), schema)
+    work = scored.withColumnsRenamed({"own_0": "doc_id", "own_1": "held_out"}).withColumn("row", F.monotonically_increasing_id())
+    work = stored(work, "lm_scores")
 
     rest = work.select("row", "words", "times").mapInArrow(_rest_rows, "row long, word long, times long")
     counts = model.words.select("keys", "counts").mapInArrow(_words(model.head_from, False), "word long, count long")
