@@ -76,10 +76,14 @@ def level_of(counts: np.ndarray) -> np.ndarray:
 # --- the filter ----------------------------------------------------------------------------------
 
 
-def _place(keys: np.ndarray, level: int, probe: int, sizes: np.ndarray | np.uint64) -> np.ndarray:
-    """Where the ``probe``-th bit of (n-gram, level) lies in its block of ``sizes`` bits."""
+def _hashes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of (n-gram, level) and the step from one probe's hash to the next."""
     h = mixed(keys ^ _LEVELS[level])
-    h = h + np.uint64(probe) * ((h >> np.uint64(32)) | np.uint64(1))
+    return h, (h >> np.uint64(32)) | np.uint64(1)
+
+
+def _bit(h: np.ndarray, sizes: np.ndarray | np.uint64) -> np.ndarray:
+    """Where a probe's bit lies in its block of ``sizes`` bits."""
     return (((h & _LOW) * sizes) >> np.uint64(32)).astype(np.int64)
 
 
@@ -89,9 +93,10 @@ def filter_block(keys: np.ndarray, counts: np.ndarray, per_entry: int = BITS_PER
     size = max(64, int(levels.sum()) * per_entry)
     bits = np.zeros(size, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
-        own = keys[levels >= level]
-        for probe in range(PROBES):
-            bits[_place(own, level, probe, np.uint64(size))] = True
+        h, step = _hashes(keys[levels >= level], level)
+        for _ in range(PROBES):
+            bits[_bit(h, np.uint64(size))] = True
+            h = h + step
     return np.packbits(bits).tobytes(), size
 
 
@@ -118,16 +123,19 @@ class FilterPart:
         block = (keys >> np.uint64(64 - self.bits)).astype(np.int64) if self.bits else np.zeros(len(keys), np.int64)
         found = np.zeros(len(keys), np.uint8)
         alive = np.flatnonzero(self.sizes[block] > 0)
+        keys, sizes, starts = keys[alive], self.sizes[block[alive]], self.starts[block[alive]]
         level = 1
         while len(alive) and level < 255:
-            kept = alive
-            for probe in range(PROBES):
-                at = _place(keys[kept], level, probe, self.sizes[block[kept]]) + self.starts[block[kept]]
-                kept = kept[(self.data[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1]
-                if not len(kept):
+            h, step = _hashes(keys, level)
+            for _ in range(PROBES):
+                at = _bit(h, sizes) + starts
+                there = (self.data[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
+                alive, keys, sizes, starts, h, step = (x[there] for x in (alive, keys, sizes, starts, h, step))
+                if not len(alive):
                     break
-            found[kept] = level
-            alive, level = kept, level + 1
+                h = h + step
+            found[alive] = level
+            level += 1
         return found
 
 
