@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import json
 from collections import defaultdict
 from dataclasses import dataclass, field
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fareloom.functions.numbers import code_text, half_even_int
+from fareloom.sources.versions import VersionedTable, schema_groups
+from fareloom.workspace import folder_names
 
 # Column order and types of a conformed trip.
 TRIP_SCHEMA = T.StructType(
@@ -76,53 +77,91 @@ def bronze_feed(raw: DataFrame, spec: FeedSpec) -> DataFrame:
     return raw.select(F.lit(spec.service_type).alias("service_type"), "*")
 
 
+MONTH_KEYS = ("year", "month")
+
+
+def feed_folder(root: str, spec: FeedSpec) -> str:
+    return f"{root.rstrip('/')}/{spec.service_type}"
+
+
+def register(spark: SparkSession, root: str, spec: FeedSpec) -> VersionedTable:
+    """The list of a feed's landed months with the schema of their files; the files lie in the landing layout."""
+    return VersionedTable(spark, f"{root.rstrip('/')}/_register/{spec.service_type}", MONTH_KEYS)
+
+
+def month_folders(spark: SparkSession, base: str) -> list[str]:
+    """Names of the month folders below a feed's folder, such as ``year=2024/month=01``."""
+    years = [y for y in folder_names(spark, base) if y.startswith("year=")]
+    return sorted(f"{y}/{m}" for y in years for m in folder_names(spark, f"{base}/{y}") if m.startswith("month="))
+
+
+def _examined(spark: SparkSession, base: str, names: list[str]) -> list[tuple[str, str, str]]:
+    """Register entries for folders (or the files of a folder that conflict) that nobody registered."""
+    if not names:
+        return []
+    groups = schema_groups(spark, base, [f"{base}/{name}" for name in names])
+    return [(path.split(f"{base}/", 1)[1], "", schema.json()) for schema, paths in groups for path in paths]
+
+
+def register_months(spark: SparkSession, root: str, spec: FeedSpec) -> int:
+    """Enter month folders that something else wrote; returns how many entries were added.
+
+    Only folders that are not in the register are looked at. A later scan reads no footer.
+    """
+    table = register(spark, root, spec)
+    entries = [tuple(e) for e in table.entries()]
+    known = {"/".join(e[0].split("/")[:2]) for e in entries}
+    base = feed_folder(root, spec)
+    fresh = _examined(spark, base, [name for name in month_folders(spark, base) if name not in known])
+    if fresh or not table.versions():
+        table.replace_list([*entries, *fresh])
+    return len(fresh)
+
+
 def scan_feed(spark: SparkSession, root: str, spec: FeedSpec) -> DataFrame:
     """Read every month of a feed under ``root``, uniting files by column name.
 
-    The source changes types between months, which Parquet schema merging refuses. Months are
-    therefore grouped by schema, each group is read once and cast, and the groups are united.
-    ``year`` and ``month`` come from the directory names.
+    The source changes types between months, which Parquet schema merging refuses. The months in the feed's register are
+    read schema by schema, each once, with the schema that the register holds; a month that is not in it is not there. A
+    folder without a register is examined first. ``year`` and ``month`` come from the directory names.
     """
-    base = f"{root.rstrip('/')}/{spec.service_type}"
-    months: dict[str, list[str]] = defaultdict(list)
-    for path in spark.read.parquet(base).inputFiles():
-        months[path.rsplit("/", 1)[0]].append(path)
+    base, table = feed_folder(root, spec), register(spark, root, spec)
+    entries = [tuple(e) for e in table.entries()] if table.versions() else _examined(spark, base, month_folders(spark, base))
     by_schema: dict[str, list[str]] = defaultdict(list)
-    for month in sorted(months):
-        for schema, paths in _schemas(spark, month, months[month]).items():
-            by_schema[schema] += paths
+    for partition, _, schema in entries:
+        by_schema[schema].append(f"{base}/{partition}")
+    parts = [
+        spark.read.schema(T.StructType.fromJson(json.loads(schema))).option("basePath", base).parquet(*paths)
+        for schema, paths in by_schema.items()
+    ]
+    if not parts:
+        raise FileNotFoundError(f"no month of {spec.service_type} has landed under {root}")
+    common = _common_types(parts, spec)
     merged = None
-    for paths in by_schema.values():
-        part = spark.read.option("basePath", base).option("mergeSchema", "true").parquet(*paths)
-        part = _cast_known(part, spec)
-        merged = part if merged is None else merged.unionByName(part, allowMissingColumns=True)
+    for part in parts:
+        typed = part.select(*(_cast(F.col(name), kind, common[name]).alias(name) for name, kind in part.dtypes))
+        merged = typed if merged is None else merged.unionByName(typed, allowMissingColumns=True)
     return bronze_feed(merged, spec)
 
 
-def _schemas(spark: SparkSession, month: str, files: list[str]) -> dict[str, list[str]]:
-    """The schemas in a month with their paths: one for the month, or per file where they conflict."""
-    try:
-        return {spark.read.option("mergeSchema", "true").parquet(month).schema.json(): [month]}
-    except (PySparkException, Py4JJavaError) as exc:
-        if "CANNOT_MERGE_SCHEMAS" not in str(exc):
-            raise
-    found: dict[str, list[str]] = defaultdict(list)
-    for path in sorted(files):
-        found[spark.read.parquet(path).schema.json()].append(path)
-    return found
-
-
-def _cast_known(part: DataFrame, spec: FeedSpec) -> DataFrame:
-    """Give the columns the models read one type; leave the others as text, whatever they were."""
-    target = {source: TRIP_SCHEMA[name].dataType for name, source in spec.source_columns.items()}
-    types = dict(part.dtypes)
-    columns = []
-    for name in part.columns:
-        if name in target:
-            columns.append(_cast(F.col(name), types[name], target[name]).alias(name))
+def _common_types(parts: list[DataFrame], spec: FeedSpec) -> dict[str, T.DataType]:
+    """One type for each column: the models' type for those they read; for others their own, a wider number, or text."""
+    found: dict[str, set[T.DataType]] = defaultdict(set)
+    for part in parts:
+        for item in part.schema.fields:
+            found[item.name].add(item.dataType)
+    wanted = {source: TRIP_SCHEMA[name].dataType for name, source in spec.source_columns.items()}
+    common = {}
+    for name, kinds in found.items():
+        if name in wanted:
+            common[name] = wanted[name]
+        elif len(kinds) == 1:
+            common[name] = next(iter(kinds))
+        elif all(isinstance(kind, T.NumericType) for kind in kinds):
+            common[name] = T.LongType() if all(isinstance(kind, T.IntegralType) for kind in kinds) else T.DoubleType()
         else:
-            columns.append(F.col(name).cast("string").alias(name))
-    return part.select(*columns)
+            common[name] = T.StringType()
+    return common
 
 
 def _cast(col: Column, type_name: str, target: T.DataType) -> Column:

@@ -7,10 +7,10 @@ import logging
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from fareloom.functions.dates import in_months
 from fareloom.functions.text import run_document_key
 from fareloom.sources.documents import audit_events
-from fareloom.sources.feeds import FeedSpec
-from fareloom.workspace import write_table
+from fareloom.sources.feeds import MONTH_KEYS, FeedSpec, feed_folder, register, register_months
 
 log = logging.getLogger(__name__)
 
@@ -43,23 +43,28 @@ def build_serving_tables(tables: dict[str, DataFrame], path: str) -> dict[str, i
 
 
 def land_feed(raw: DataFrame, root: str, spec: FeedSpec) -> int:
-    """Write a feed in the monthly landing layout, leaving months that are already there alone."""
-    base = f"{root.rstrip('/')}/{spec.service_type}"
-    fresh = raw
-    if _has_files(raw, base):
-        held = raw.sparkSession.read.option("basePath", base).parquet(base).select("year", "month").distinct()
-        fresh = raw.join(held, ["year", "month"], "left_anti")
+    """Write a feed in the monthly landing layout, leaving months that have landed alone; returns the rows written.
+
+    A month has landed once it is in the register, which is extended after its files are complete. What a failed landing
+    left of a month is replaced by the next one. Months that are there before the feed has a register are entered first.
+    """
+    spark = raw.sparkSession
+    if not register(spark, root, spec).versions():
+        register_months(spark, root, spec)
+    table = register(spark, root, spec)
+    known, entries = table.versions(), [tuple(e) for e in table.entries()]
+    held = sorted({tuple(int(part.split("=")[1]) for part in e[0].split("/")[:2]) for e in entries})
+    fresh = raw.where(~in_months(held, *MONTH_KEYS)) if held else raw
     seen = Observation(f"land_{spec.dataset}")
-    write_table(fresh.observe(seen, F.count(F.lit(1)).alias("rows")), base, ("year", "month"), mode="append")
+    folders = F.collect_set(F.concat_ws("/", *(F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in MONTH_KEYS)))
+    written = fresh.hint("rebalance", *MONTH_KEYS).observe(seen, F.count(F.lit(1)).alias("rows"), folders.alias("folders"))
+    writer = written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*MONTH_KEYS)
+    writer.parquet(feed_folder(root, spec))
+    if seen.get["rows"]:
+        table.replace_list([*entries, *((name, "", fresh.schema.json()) for name in sorted(seen.get["folders"]))], known)
     return seen.get["rows"]
 
 
-def _has_files(df: DataFrame, path: str) -> bool:
-    jvm = df.sparkSession._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).exists(folder)
-
-
 def write_run_document(summary: DataFrame, root: str) -> str:
     """Write a one-row run summary as JSON under its stable key and return the key."""
     key = summary.select(run_document_key(F.col("dag_id"), F.col("run_id"), F.col("logical_date"))).first()[0]

@@ -116,3 +116,10 @@ def remove_folders(spark: SparkSession, paths: list[str]) -> None:
     for name in paths:
         folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder, through Spark's file systems; none for a missing folder."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in files.listStatus(folder)] if files.exists(folder) else []
