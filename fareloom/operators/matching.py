@@ -7,8 +7,6 @@ over their equal cells and a grid over their numbers. The driver sees profiles a
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
@@ -92,16 +90,28 @@ def _twins(cells: DataFrame, options: list[list[int]]) -> dict[int, int]:
     return {b: a for n, (a, b) in reversed(list(enumerate(pairs))) if differ[n] == 0}
 
 
-def _choices(options: list[list[int]], twins: dict[int, int], picked: tuple[int, ...] = ()) -> Iterator[tuple[int, ...]]:
-    """All ways to give each column one of its options and none twice, equal columns in one order only."""
-    if len(picked) == len(options):
-        yield picked
-        return
-    fits = options[len(picked)]
-    for i in fits:
-        first = twins.get(i)
-        if i not in picked and (first is None or first in picked or first not in fits):
-            yield from _choices(options, twins, (*picked, i))
+def _reproduces(left: DataFrame, right: DataFrame, numeric: tuple[list[bool], list[bool]], options: list[list[int]]) -> bool:
+    """Whether some selection of the left columns makes the right rows.
+
+    Columns are fixed one after another. Where one has several candidates, those stay that make the right rows together
+    with the columns fixed so far, so look-alikes cost a comparison each and not one for each of their permutations.
+    """
+    twins = _twins(left, options)
+    order = sorted(range(len(options)), key=lambda j: len(options[j]))
+    picks: list[tuple[int, ...]] = [()]
+    for n, j in enumerate(order):
+        longer = []
+        for pick in picks:
+            fits = [i for i in options[j] if i not in pick and (twins.get(i) is None or twins[i] in pick or twins[i] not in options[j])]
+            last = n + 1 == len(order)
+            for i in fits:
+                now = (*pick, i)
+                if (not last and len(fits) == 1 and len(picks) == 1) or _selection_matches(left, right, numeric, now, order[: n + 1]):
+                    longer.append(now)
+                    if last:
+                        return True
+        picks = longer
+    return False
 
 
 def _grid(col: Column, shift: float) -> Column:
@@ -218,15 +228,16 @@ def compare_results(agent: DataFrame, gold: DataFrame, ordered: bool = False) ->
     if match and n_left and ordered:
         match = _assignable(_ordered_fits(left, right, (left_numbers, right_numbers), options))
     elif match and n_left:
-        match = any(_selection_matches(left, right, (left_numbers, right_numbers), pick) for pick in _choices(options, _twins(left, options)))
+        match = _reproduces(left, right, (left_numbers, right_numbers), options)
     return _verdict(agent, match, n_left, n_right)
 
 
-def _selection_matches(left: DataFrame, right: DataFrame, numeric: tuple[list[bool], list[bool]], pick: tuple[int, ...]) -> bool:
-    both = [numeric[0][i] and numeric[1][j] for j, i in enumerate(pick)]
+def _selection_matches(left: DataFrame, right: DataFrame, numeric: tuple[list[bool], list[bool]], pick: tuple[int, ...], wanted: list[int]) -> bool:
+    """Whether the left columns ``pick`` make the rows of the right columns ``wanted``."""
+    both = [numeric[0][i] and numeric[1][j] for i, j in zip(pick, wanted)]
     kinds = ["double" if n else "string" for n in both]
-    chosen = left.select(*[F.col(f"c{i}").cast(kinds[j]).alias(f"c{j}") for j, i in enumerate(pick)])
-    return _same_rows(chosen, right.select(*[F.col(f"c{j}").cast(k).alias(f"c{j}") for j, k in enumerate(kinds)]), both)
+    chosen = left.select(*[F.col(f"c{i}").cast(k).alias(f"c{n}") for n, (i, k) in enumerate(zip(pick, kinds))])
+    return _same_rows(chosen, right.select(*[F.col(f"c{j}").cast(k).alias(f"c{n}") for n, (j, k) in enumerate(zip(wanted, kinds))]), both)
 
 
 def results_identical(agent: DataFrame, gold: DataFrame, ordered: bool = False) -> DataFrame:

@@ -18,6 +18,7 @@ from fareloom.plans.governed import Filter, Join, Metric, Request, governed_quer
 from fareloom.plans.policy import policy_scan
 from fareloom.plans.routing import route_questions
 from fareloom.plans.warehouse import Warehouse, warehouse
+from fareloom.operators.rescoring import rescore
 from fareloom.sources import derived_logs as logs
 from fareloom.sources import tables
 from fareloom.sources.documents import read_audit_log
@@ -255,7 +256,7 @@ def compare_queries() -> dict[str, Query]:
         "compare_results": over(_compare),
         "compare_ordered": over(_ordered),
         "compare_exact": over(_exact),
-        "rescore": lambda s, d: compare.rescore(logs.saved_results(s, d)).select("o_custkey", "rescored", "flipped"),
+        "rescore": lambda s, d: rescore(logs.saved_results(s, d)).select("o_custkey", "rescored", "flipped"),
     }
 
 

@@ -485,3 +485,34 @@ def test_emptied_partitions_go(spark, tmp_path):
     rows.write.partitionBy("y", "m").parquet(path)
     replace_partitions(rows.where("m = 2").withColumn("v", F.lit("new")), path, ("y", "m"), [(2024, 1), (2024, 2)])
     assert sorted(r.v for r in spark.read.parquet(path).collect()) == ["c", "new"]
+
+
+def test_rescoring_by_symbols(spark):
+    from fareloom.operators.rescoring import rescore
+
+    two = [["a", "1"], ["b", "2"]]
+    cases = [
+        (1, [["1.0000000001", "a"], ["2", "b"]], two, "select", True),  # columns swapped, noise
+        (2, [["x", "b", "2"], ["y", "a", "1"]], two, "select", True),  # an extra column, other order
+        (3, [["b", "2"], ["a", "1"]], two, "select x order by 1 limit 5", False),  # order counts
+        (4, [["a", "2"], ["b", "1"]], two, "select", False),  # right columns, wrong rows
+        (5, [["a", "1"]], two, "select", False),
+        (6, [], [], "select", True),
+        (7, [["1", "1", "2"], ["2", "1", "1"], ["3", "2", "1"]], [["1", "2"], ["1", "1"], ["2", "1"]], "select", True),  # look-alikes
+        (8, [["1", "1"], ["2", "2"]], [["1", "1"], ["2", "2"]], "select", True),
+        (9, [["1", "9"], ["2", "9"]], [["1", "1"], ["2", "2"]], "select", False),
+        (10, [["a", None]], [["a", ""]], "select", False),
+        (11, [["a", "1.001"]], [["a", "1"]], "select", False),
+    ]
+    rows = [(n, a, [f"c{i}" for i in range(max(map(len, a), default=2))], g, [f"d{i}" for i in range(max(map(len, g), default=2))], s, True) for n, a, g, s, _ in cases]
+    saved = spark.createDataFrame(rows, "n int, agent_rows array<array<string>>, agent_cols array<string>, gold_rows array<array<string>>, gold_cols array<string>, gold_sql string, match boolean")
+    got = {r.n: (r.rescored, r.flipped) for r in rescore(saved).collect()}
+    assert got == {n: (want, not want) for n, *_, want in cases}
+
+
+def test_shuffled_look_alike_columns_need_few_comparisons(spark):
+    rows = spark.range(60)
+    gold = rows.select(*[((F.col("id") * (2 * i + 7) + i) % 60).cast("double").alias(f"c{i}") for i in (0, 3, 5, 8, 11)])
+    turned = gold.select(*[F.col(c).alias(f"x{i}") for i, c in enumerate(reversed(gold.columns))])
+    assert match(spark, turned, gold)
+    assert not match(spark, turned.withColumn("x2", (F.col("x2") + 1) % 60), gold)
