@@ -23,14 +23,38 @@ def _is_number(kind: str) -> bool:
     return kind in ("tinyint", "smallint", "int", "bigint", "float", "double") or kind.startswith("decimal")
 
 
+def _cell(col: Column, kind: str) -> Column:
+    if _is_number(kind):
+        return col.cast("double")
+    return F.when(col, "\u0001true").when(~col, "\u0001false") if kind == "boolean" else col.cast("string")
+
+
+def _exact(col: Column, kind: str) -> Column:
+    """A value as text, the same for equal numbers of all types and different for values of other kinds."""
+    if not _is_number(kind):
+        return F.concat(F.lit("'"), _cell(col, kind))
+    whole = kind in ("tinyint", "smallint", "int", "bigint")
+    if whole:
+        return col.cast("string")
+    text = col if kind.startswith("decimal") else col.cast("double").try_cast("decimal(38,18)")
+    plain = F.regexp_replace(F.regexp_replace(text.cast("string"), r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    plain = F.when(plain == "-0", "0").otherwise(plain)
+    if kind.startswith("decimal"):
+        return plain
+    # a double that 18 decimals do not hold keeps its own digits
+    return F.when(text.cast("double") == col.cast("double"), plain).otherwise(col.cast("double").cast("string"))
+
+
 def _cells(df: DataFrame, with_place: bool) -> tuple[DataFrame, list[bool]]:
     """The stored cells by position, numbers as DOUBLE and all else as text, and which columns are numbers.
 
-    Only columns of a number type are numbers, so the text '01' is not '1'. ``place`` keeps the order of the rows.
+    Only columns of a number type are numbers, so the text '01' is not '1', and a truth value is neither a number nor the
+    text 'true'. ``place`` keeps the order of the rows.
     """
-    numeric = [_is_number(kind) for _, kind in df.dtypes]
+    kinds = [kind for _, kind in df.dtypes]
+    numeric = [_is_number(kind) for kind in kinds]
     named = df.toDF(*[f"c{i}" for i in range(len(numeric))])
-    cells = [F.col(f"c{i}").cast("double" if n else "string").alias(f"c{i}") for i, n in enumerate(numeric)]
+    cells = [_cell(F.col(f"c{i}"), kind).alias(f"c{i}") for i, kind in enumerate(kinds)]
     if not with_place:
         return materialize(named.select(*cells), "result"), numeric
     numbered = materialize(named.select(*cells, F.monotonically_increasing_id().alias("at")), "result", rebalance=False)
@@ -243,12 +267,13 @@ def _selection_matches(left: DataFrame, right: DataFrame, numeric: tuple[list[bo
 def results_identical(agent: DataFrame, gold: DataFrame, ordered: bool = False) -> DataFrame:
     """Exact comparison, as one row ``match``: the same columns by position and the same rows equally often.
 
-    In an ordered comparison the rows must also come in the same order. A number and a text are never the same.
+    In an ordered comparison the rows must also come in the same order. Numbers are compared as numbers, so 1, 1.0 and
+    1.00 are the same and long whole numbers keep all digits. A number, a text and a truth value are never the same.
     """
     def marked(df: DataFrame) -> DataFrame:
         kinds = [kind for _, kind in df.dtypes]
         named = df.toDF(*[f"c{i}" for i in range(len(kinds))])
-        cells = [F.col(f"c{i}").cast("string") if _is_number(k) else F.concat(F.lit("'"), F.col(f"c{i}").cast("string")) for i, k in enumerate(kinds)]
+        cells = [_exact(F.col(f"c{i}"), k) for i, k in enumerate(kinds)]
         return _cells(named.select(*cells), ordered)[0]
 
     same = len(agent.columns) == len(gold.columns) and table_difference(marked(agent), marked(gold)).isEmpty()

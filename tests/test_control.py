@@ -516,3 +516,19 @@ def test_shuffled_look_alike_columns_need_few_comparisons(spark):
     turned = gold.select(*[F.col(c).alias(f"x{i}") for i, c in enumerate(reversed(gold.columns))])
     assert match(spark, turned, gold)
     assert not match(spark, turned.withColumn("x2", (F.col("x2") + 1) % 60), gold)
+
+
+def test_numbers_and_truth_values_of_different_types(spark):
+    from fareloom.operators.matching import compare_results, results_identical
+
+    def one(text):
+        return spark.sql(f"select {text} as v")
+
+    same = lambda a, b: results_identical(one(a), one(b)).first()[0]
+    assert same("1", "1.0D") and same("1.00BD", "1") and same("1.50BD", "1.5D") and same("cast(1 as tinyint)", "1L") and same("-0.0D", "0")
+    assert not same("9007199254740993L", "9007199254740992L") and not same("1", "'1'") and not same("true", "'true'") and not same("true", "1")
+    assert same("1e-30D", "1e-30D") and not same("1e-30D", "0") and same("100.0D", "100") and not same("100", "1")
+    assert same("cast('NaN' as double)", "cast('NaN' as double)") and not same("cast('NaN' as double)", "cast('Infinity' as double)")
+    assert same("cast(null as int)", "cast(null as double)")
+    close = lambda a, b: compare_results(one(a), one(b)).first().match
+    assert not close("true", "'true'") and close("true", "true") and not close("true", "false") and close("1", "1.0D")
