@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, WindowSpec
 from pyspark.sql import functions as F
 
 # The tolerances of a result comparison.
@@ -42,9 +42,10 @@ def sum_state(col: Column) -> Column:
     return F.struct(*[F.sum(limb.cast("long")).alias(name) for limb, name in zip(limbs, LIMBS)], F.sum(rest).alias(REST))
 
 
-def merged_state(state: str) -> Column:
-    """An aggregate: the state over all rows of which column ``state`` holds partial ones."""
-    return F.struct(*[F.sum(F.col(state)[name]).alias(name) for name in (*LIMBS, REST)])
+def merged_state(state: str, window: WindowSpec | None = None) -> Column:
+    """An aggregate, or one over a window: the state over all rows of which column ``state`` holds partial ones."""
+    sums = {name: F.sum(F.col(state)[name]) for name in (*LIMBS, REST)}
+    return F.struct(*[(total if window is None else total.over(window)).alias(name) for name, total in sums.items()])
 
 
 def state_value(state: Column) -> Column:

@@ -275,8 +275,7 @@ def insight_shares(wh: Warehouse, window: Window = None) -> DataFrame:
 
 def distance_median_mean(wh: Warehouse, window: Window = None) -> DataFrame:
     fact = narrowed(wh.fact_trips, window)
-    average = fact.agg(exact_mean(F.col("trip_distance"))).scalar()
-    return exact_median(fact, "trip_distance", "median_distance").select("*", average.alias("mean_distance"))
+    return exact_median(fact, "trip_distance", "median_distance", mean="mean_distance")
 
 
 def derived_calendar(wh: Warehouse, *columns: str, window: Window = None) -> DataFrame:
