@@ -67,7 +67,8 @@ def _related(table: str, source: str, column: str, parent: str, key: str) -> str
     )
 
 
-def quality_cte() -> str:
+def quality_cte(more: str = "", **instead: str) -> str:
+    """All checks; ``more`` adds tables, and ``instead`` names those to check in place of others."""
     services = "'yellow_taxi', 'green_taxi'"
     months = ", ".join(str(m) for m in range(1, 13))
     parts = []
@@ -87,26 +88,26 @@ def quality_cte() -> str:
         ("gold_daily_kpis", "daily", "service_type pickup_date trip_count total_fare_amount avg_trip_distance"),
         ("gold_zone_demand", "zone_demand", "service_type pickup_date zone_id borough zone_name trip_count total_amount"),
     ):
-        parts += _not_null(table, source, columns)
+        parts += _not_null(table, instead.get(source, source), columns)
     for table, source, column in (
         ("zone_lookup", "dim_zone", "zone_id"), ("dim_date", "dim_date", "pickup_date"),
         ("dim_service_type", "dim_service_type", "service_type"), ("dim_vendor", "dim_vendor", "vendor_id"),
         ("dim_payment_type", "dim_payment_type", "payment_type"), ("dim_zone", "dim_zone", "zone_id"),
     ):
-        parts.append(_unique(table, source, column))
+        parts.append(_unique(table, instead.get(source, source), column))
     for table, source, column, values in (
         ("silver_trips", "silver", "service_type", services), ("silver_trips", "silver", "source_month", months),
         ("dim_date", "dim_date", "month", months), ("dim_service_type", "dim_service_type", "service_type", services),
         ("gold_daily_kpis", "daily", "service_type", services), ("gold_zone_demand", "zone_demand", "service_type", services),
     ):
-        parts.append(_accepted(table, source, column, values))
+        parts.append(_accepted(table, instead.get(source, source), column, values))
     for column, parent, key in (
         ("service_type", "dim_service_type", "service_type"), ("pickup_date", "dim_date", "pickup_date"),
         ("vendor_id", "dim_vendor", "vendor_id"), ("pickup_zone_id", "dim_zone", "zone_id"),
         ("dropoff_zone_id", "dim_zone", "zone_id"), ("payment_type", "dim_payment_type", "payment_type"),
     ):
-        parts.append(_related("fact_trips", "silver", column, parent, key))
-    parts.append(_related("gold_zone_demand", "zone_demand", "zone_id", "dim_zone", "zone_id"))
+        parts.append(_related("fact_trips", "silver", column, instead.get(parent, parent), key))
+    parts.append(_related("gold_zone_demand", "zone_demand", "zone_id", instead.get("dim_zone", "dim_zone"), "zone_id"))
     for table, source in (("gold_daily_kpis", "daily"), ("gold_zone_demand", "zone_demand")):
         parts.append(f"select '{table}', '*', 'not_empty', case when exists (select 1 from {source}) then 0 else 1 end, 'error'")
     parts.append(
@@ -114,15 +115,24 @@ def quality_cte() -> str:
         "or trip_distance > 200 or total_amount < 0"
     )
     parts.append(
-        "select 'gold_daily_kpis', '*', 'anomalies', count(*), 'warn' from daily where trip_count <= 0 "
+        f"select 'gold_daily_kpis', '*', 'anomalies', count(*), 'warn' from {instead.get('daily', 'daily')} where trip_count <= 0 "
         "or total_fare_amount < 0 or avg_trip_distance < 0 or avg_trip_distance > 200"
     )
     return (
-        f"{WITH}, checks as ({' union all '.join(parts)}), report as (select table_name, column_name, check_name, "
+        f"{WITH}{more}, checks as ({' union all '.join(parts)}), report as (select table_name, column_name, check_name, "
         "cast(failures as bigint) as failures, severity, case when failures = 0 then 'pass' else severity end as status from checks)"
     )
 
 
+# Tables with faults: zones and dates that are missing, a vendor twice, a payment type without a code, months past the
+# year's end, marts with fares below zero.
+PLANTED = """, faulty_zone as (select * from dim_zone where zone_id % 7 <> 3),
+  faulty_date as (select * replace (case when month = 12 then 13 else month end as month) from dim_date where day(pickup_date) <> 31),
+  faulty_vendor as (select * from dim_vendor union all select * from dim_vendor where vendor_id = '1'),
+  faulty_payment as (select * replace (nullif(payment_type, '2') as payment_type) from dim_payment_type),
+  faulty_daily as (select * replace (case when trip_count % 3 = 0 then -total_fare_amount else total_fare_amount end as total_fare_amount) from daily)"""
+
+
 MANIFEST = f"""manifest as (
   select dataset, service_type, y as year, m as month,
          '{BASE_URL}/trip-data/' || dataset || '_tripdata_' || y || '-' || m || '.parquet' as source_url,
@@ -212,6 +222,11 @@ def quality_sql() -> dict[str, str]:
     report = quality_cte()
     return {
         "quality_report": f"{report} select * from report",
+        "quality_report_planted": quality_cte(
+            PLANTED, dim_zone="faulty_zone", dim_date="faulty_date", dim_vendor="faulty_vendor",
+            dim_payment_type="faulty_payment", daily="faulty_daily",
+        ) + " select * from report",
+        "gold_anomaly_rows_planted": f"{WITH}{PLANTED} select * from faulty_daily where total_fare_amount < 0",
         "layer_outcomes": f"""{report} select case when table_name in ('zone_lookup', 'silver_trips') then 'silver' else 'gold' end
             as layer, count(*) filter (where status = 'pass') as pass, count(*) filter (where status = 'warn') as warn,
             count(*) filter (where status = 'error') as error, cast(0 as bigint) as skip,

@@ -11,6 +11,7 @@ from fareloom.functions.dates import DateWindow, in_months
 from fareloom.functions.numbers import exact_sum
 from fareloom.functions.text import fold_text, key_part, run_document_key
 from fareloom.operators import compare, ingest, matching, metrics, quality, typing
+from fareloom.operators.gold import gold_anomaly_rows
 from fareloom.operators.silver import silver_trips
 from fareloom.plans import queries as q
 from fareloom.plans.catalog import gold_catalog
@@ -39,6 +40,22 @@ def checked_tables(wh: Warehouse) -> dict[str, DataFrame]:
     return {**wh.gold_tables(), "zone_lookup": wh.dim_zone, "silver_trips": wh.silver}
 
 
+def faulty_tables(wh: Warehouse) -> dict[str, DataFrame]:
+    """The tables with faults that each kind of check must find."""
+    vendors, code = wh.dim_vendor, F.col("payment_type")
+    dates = wh.dim_date.where(F.dayofmonth("pickup_date") != 31)
+    fares, zones = F.col("total_fare_amount"), wh.dim_zone.where(F.col("zone_id") % 7 != 3)
+    return {
+        **checked_tables(wh),
+        "dim_zone": zones,
+        "zone_lookup": zones,
+        "dim_date": dates.withColumn("month", F.when(F.col("month") == 12, 13).otherwise(F.col("month"))),
+        "dim_vendor": vendors.unionByName(vendors.where(F.col("vendor_id") == "1")),
+        "dim_payment_type": wh.dim_payment_type.withColumn("payment_type", F.nullif(code, F.lit("2"))),
+        "gold_daily_kpis": wh.gold_daily_kpis.withColumn("total_fare_amount", F.when(F.col("trip_count") % 3 == 0, -fares).otherwise(fares)),
+    }
+
+
 def _report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(checked_tables(warehouse(spark, sf_dir)))
 
@@ -78,6 +95,8 @@ def _document_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quality_queries() -> dict[str, Query]:
     return {
         "quality_report": _report,
+        "quality_report_planted": over(lambda w: quality.quality_report(faulty_tables(w))),
+        "gold_anomaly_rows_planted": over(lambda w: gold_anomaly_rows(faulty_tables(w)["gold_daily_kpis"])),
         "layer_outcomes": lambda s, d: _stages(s, d).select("layer", "counts.*", "status"),
         "quality_gate": _gate,
         "run_summary": _summary,

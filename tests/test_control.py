@@ -270,6 +270,45 @@ def test_quality_report_finds_planted_faults(spark):
     assert quality.is_empty(parent.where("id > 9")).first()[0] == 1
 
 
+def test_keys_of_all_tables_meet_in_one_pass(spark, tmp_path):
+    ids = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.5), (2, None, None), (None, None, 1.0)], "id int, code string, size double")
+    uses = spark.createDataFrame([(1, "a", 1), (2, "c", 2), (7, None, None), (7, "c", 1)], "pid long, code string, size int")
+    tables = {}
+    for name, frame in {"ids": ids, "uses": uses, "nothing": uses.limit(0)}.items():
+        frame.write.parquet(str(tmp_path / name))
+        tables[name] = spark.read.parquet(str(tmp_path / name))
+    related = (("pid", "ids", "id"), ("code", "ids", "code"), ("size", "ids", "size"))
+    checks = (
+        quality.TableChecks("ids", ("id",), ("id", "code", "size")),
+        quality.TableChecks("uses", ("code",), ("pid",), related=related),
+        quality.TableChecks("nothing", (), ("pid",), related=related, not_empty=True),
+    )
+    report = quality.quality_report(tables, checks)
+    got = {(r.table_name, r.column_name, r.check_name): r.failures for r in report.collect()}
+    assert got == {
+        ("ids", "id", "not_null"): 1, ("ids", "id", "unique"): 1, ("ids", "code", "unique"): 0, ("ids", "size", "unique"): 1,
+        ("uses", "code", "not_null"): 1, ("uses", "pid", "unique"): 1,
+        # whole numbers of both widths are compared as one type, and so are 1 and 1.0
+        ("uses", "pid", "relationships"): 2, ("uses", "code", "relationships"): 2, ("uses", "size", "relationships"): 1,
+        ("nothing", "pid", "unique"): 0, ("nothing", "*", "not_empty"): 1,
+        **{("nothing", c, "relationships"): 0 for c in ("pid", "code", "size")},
+    }
+    scans = report._jdf.queryExecution().optimizedPlan().toString().count("parquet")
+    assert scans == 6
+
+
+def test_planted_faults_fail_their_checks(spark, small):
+    import __spark_entry__ as entry
+
+    found = {(r.table_name, r.column_name, r.check_name) for r in entry.queries()["quality_report_planted"](spark, small).where("failures > 0").collect()}
+    assert found >= {
+        ("fact_trips", "pickup_zone_id", "relationships"), ("fact_trips", "dropoff_zone_id", "relationships"),
+        ("fact_trips", "pickup_date", "relationships"), ("gold_zone_demand", "zone_id", "relationships"),
+        ("dim_vendor", "vendor_id", "unique"), ("dim_payment_type", "payment_type", "not_null"),
+        ("dim_date", "month", "accepted_values"), ("gold_daily_kpis", "*", "anomalies"),
+    }
+
+
 def test_result_warnings(spark):
     df = spark.createDataFrame([(date(2031, 1, 1), -1.0), (date(2020, 1, 1), 2.0)], "d date, amount double")
     got = {r[0] for r in quality.result_warnings(df, 2, ("month",)).collect()}
