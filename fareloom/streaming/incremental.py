@@ -13,15 +13,21 @@ from fareloom.functions.dates import in_months
 from fareloom.functions.numbers import safe_divide, state_value, sum_state
 from fareloom.operators.gold import daily_kpis
 from fareloom.operators.silver import silver_trips
-from fareloom.sources.feeds import FeedSpec, bronze_feed, conform_feed
+from fareloom.sources.feeds import FeedSpec, bronze_feed, conform_feed, feed_folder
 from fareloom.workspace import replace_partitions, write_table
 
 MONTH = ("source_year", "source_month")
 
 
-def stream_feed(spark: SparkSession, path: str, schema: T.StructType, spec: FeedSpec) -> DataFrame:
-    """A feed's landing folder as a stream; a checkpoint makes each file count once."""
-    return bronze_feed(spark.readStream.schema(schema).parquet(path), spec)
+def stream_feed(spark: SparkSession, path: str, schema: T.StructType, spec: FeedSpec, files_per_batch: int | None = None) -> DataFrame:
+    """A feed's landing folder as a stream; a checkpoint makes each file count once.
+
+    ``files_per_batch`` bounds a micro-batch, so that the first run over a large landing is a row of batches of its own size.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return bronze_feed(reader.parquet(path), spec)
 
 
 def stream_silver(bronze: DataFrame, spec: FeedSpec) -> DataFrame:
@@ -29,6 +35,15 @@ def stream_silver(bronze: DataFrame, spec: FeedSpec) -> DataFrame:
     return silver_trips(conform_feed(bronze, spec))
 
 
+def stream_silver_feeds(spark: SparkSession, root: str, schemas: dict[FeedSpec, T.StructType], files_per_batch: int | None = None) -> DataFrame:
+    """Silver of several feeds as one stream over their landing folders."""
+    both = None
+    for spec, schema in schemas.items():
+        part = stream_silver(stream_feed(spark, feed_folder(root, spec), schema, spec, files_per_batch), spec)
+        both = part if both is None else both.unionByName(part)
+    return both
+
+
 def rebuild_touched_months(
     changes: DataFrame, path: str, checkpoint: str, rebuild: Callable[[list[tuple[int, int]]], DataFrame]
 ) -> StreamingQuery:

@@ -422,6 +422,10 @@ def governed_sql() -> dict[str, str]:
 def stream_sql() -> dict[str, str]:
     return {
         "streaming_daily_kpis": f"{WITH} select * from daily",
+        "streaming_closed_days": f"""{WITH}, arrived as (select * from silver union all select * from silver
+              where passenger_count = 1 and pickup_date > (select max(pickup_date) from silver) - interval 31 day)
+            select service_type, pickup_date, count(*) as trip_count, {exact('fare_amount')} as total_fare_amount,
+            {avg('trip_distance')} as avg_trip_distance from arrived group by 1, 2""",
         "streaming_silver_months": WITH
         + f"""select source_year, source_month, service_type, count(*) as trip_count, {exact('total_amount')} as total_amount
             from silver group by 1, 2, 3""",

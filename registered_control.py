@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.functions.dates import DateWindow, in_months
@@ -23,7 +23,7 @@ from fareloom.operators.rescoring import rescore
 from fareloom.sources import derived_logs as logs
 from fareloom.sources import tables
 from fareloom.sources.documents import read_audit_log
-from fareloom.sources.feeds import FEEDS, bronze_feed, unify_feeds
+from fareloom.sources.feeds import FEEDS, MONTH_KEYS, feed_folder, scan_feed, unify_feeds
 from fareloom.sources.sinks import append_audit, land_feed
 from fareloom.streaming import incremental
 from fareloom.workspace import scratch_path
@@ -323,39 +323,67 @@ def governed_queries() -> dict[str, Query]:
     }
 
 
-def _streaming_kpis(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "silver_stream_source")
-    wh = warehouse(spark, sf_dir)
-    wh.silver.write.parquet(path)
-    stream = spark.readStream.schema(wh.silver.schema).parquet(path)
-    out, state = scratch_path(spark, "kpi_updates"), scratch_path(spark, "kpi_state")
-    incremental.write_updates(incremental.stream_daily_kpis(stream), out, state).awaitTermination()
-    return incremental.read_updates(spark, out)
+def _land(wh: Warehouse, root: str, rows: Column) -> None:
+    for spec in FEEDS:
+        land_feed(wh.bronze[spec].drop("service_type").where(rows), root, spec)
+
+
+def _update_kpis(wh: Warehouse, root: str, out: str, state: str, **bounds) -> None:
+    """One run of the stream over what has landed since the checkpoint was left."""
+    schemas = {spec: wh.bronze[spec].drop("service_type").schema for spec in FEEDS}
+    silver = incremental.stream_silver_feeds(wh.spark, root, schemas, bounds.get("files_per_batch"))
+    incremental.write_updates(incremental.stream_daily_kpis(silver, bounds.get("delay")), out, state).awaitTermination()
+
+
+def _streaming_kpis(wh: Warehouse) -> DataFrame:
+    """Three landings of some years each, in batches of a few files; the stream is started anew after each landing."""
+    root, out, state = (scratch_path(wh.spark, name) for name in ("kpi_landing", "kpi_updates", "kpi_state"))
+    for last in (1996, 1998, 9999):
+        _land(wh, root, F.col("year") <= last)
+        _update_kpis(wh, root, out, state, files_per_batch=20)
+    return incremental.read_updates(wh.spark, out)
+
+
+def _closed_days(wh: Warehouse) -> DataFrame:
+    """Days close 30 days after the latest one: of trips that arrive a second time, only those of open days count."""
+    root, out, state = (scratch_path(wh.spark, name) for name in ("kpi_landing", "kpi_updates", "kpi_state"))
+    for last in (1998, 9999):
+        _land(wh, root, F.col("year") <= last)
+        _update_kpis(wh, root, out, state, delay="30 days")
+    for spec in FEEDS:
+        late = wh.bronze[spec].drop("service_type").where("passenger_count = 1")
+        late.write.mode("append").partitionBy(*MONTH_KEYS).parquet(feed_folder(root, spec))
+    _update_kpis(wh, root, out, state, delay="30 days")
+    return incremental.read_updates(wh.spark, out)
 
 
-def _streaming_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Land both feeds as monthly files, stream each, and rebuild the silver months it touches."""
-    wh = warehouse(spark, sf_dir)
+def _streaming_silver(wh: Warehouse) -> DataFrame:
+    """Land half the months of each feed, then all; after each landing a stream rebuilds the silver months it touches."""
+    spark = wh.spark
     root, out = scratch_path(spark, "landing"), scratch_path(spark, "silver_incremental")
     both = None
     for spec in FEEDS:
         raw = wh.bronze[spec].drop("service_type")
-        land_feed(raw, root, spec)
-        path = f"{root}/{spec.service_type}"
-        changes = incremental.stream_silver(incremental.stream_feed(spark, path, raw.schema, spec), spec)
-        landed = silver_trips(unify_feeds({spec: bronze_feed(spark.read.schema(raw.schema).parquet(path), spec)}))
         state, target = scratch_path(spark, f"state_{spec.dataset}"), f"{out}/{spec.dataset}"
-        rebuilt = incremental.rebuild_touched_months(
-            changes, target, state, lambda months, landed=landed: landed.where(in_months(months))
-        )
-        rebuilt.awaitTermination()
+
+        def rebuild(months, spec=spec):
+            return silver_trips(unify_feeds({spec: scan_feed(spark, root, spec)})).where(in_months(months))
+
+        for last in (6, 12):
+            land_feed(raw.where(F.col("month") <= last), root, spec)
+            changes = incremental.stream_silver(incremental.stream_feed(spark, feed_folder(root, spec), raw.schema, spec), spec)
+            incremental.rebuild_touched_months(changes, target, state, rebuild).awaitTermination()
         part = spark.read.schema(wh.silver.schema).parquet(target)
         both = part if both is None else both.unionByName(part)
     return q.star_rollup(both, [q.TRIPS, q.REVENUE], (), ["source_year", "source_month", "service_type"])
 
 
 def stream_queries() -> dict[str, Query]:
-    return {"streaming_daily_kpis": _streaming_kpis, "streaming_silver_months": _streaming_silver}
+    return {
+        "streaming_daily_kpis": over(_streaming_kpis),
+        "streaming_closed_days": over(_closed_days),
+        "streaming_silver_months": over(_streaming_silver),
+    }
 
 
 def all_queries() -> dict[str, Query]:

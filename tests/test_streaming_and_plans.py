@@ -65,6 +65,25 @@ def test_streamed_kpis_over_several_batches_equal_the_batch_result(spark, small,
     assert got == {tuple(r) for r in gold.daily_kpis(silver).collect()}
 
 
+def test_a_landing_is_taken_in_batches_across_restarts(spark, small, tmp_path):
+    from fareloom.sources.feeds import FEEDS
+    from fareloom.sources.sinks import land_feed
+
+    wh = warehouse(spark, small)
+    root, out, state = (str(tmp_path / n) for n in ("landing", "out", "state"))
+    schemas = {spec: wh.bronze[spec].drop("service_type").schema for spec in FEEDS}
+    batches = []
+    for last in (1996, 1999):
+        for spec in FEEDS:
+            land_feed(wh.bronze[spec].drop("service_type").where(F.col("year") <= last), root, spec)
+        silver = incremental.stream_silver_feeds(spark, root, schemas, 15)
+        incremental.write_updates(incremental.stream_daily_kpis(silver), out, state).awaitTermination()
+        batches.append(len([p for p in (tmp_path / "out").iterdir() if p.name.startswith("batch=")]))
+        got = {tuple(r) for r in incremental.read_updates(spark, out).collect()}
+        assert got == {tuple(r) for r in gold.daily_kpis(wh.silver.where(F.col("source_year") <= last)).collect()}
+    assert batches[0] > 1 and batches[1] > batches[0] + 1
+
+
 def test_a_delay_closes_old_days(spark, tmp_path):
     schema = "service_type string, pickup_date date, fare_amount double, trip_distance double"
     source, out, state = (str(tmp_path / n) for n in ("source", "out", "state"))
