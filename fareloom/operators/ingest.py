@@ -62,16 +62,24 @@ def fingerprints(content: DataFrame, body: str) -> DataFrame:
     )
 
 
-def file_fingerprints(spark: SparkSession, root: str) -> DataFrame:
-    """Fingerprints of the files under a folder, spread over the cluster by path.
+#: Files up to this size are hashed as one binary value by Spark itself; larger ones a megabyte at a time in a task.
+WHOLE_UP_TO = 256 << 20
 
-    Contents are read inside the tasks a megabyte at a time, so a file may be larger than a task's
-    memory; only paths go through the shuffle. Spark's file listing leaves empty files out, so an
-    empty file has no fingerprint and ``refused_files`` reports it.
+
+def file_fingerprints(spark: SparkSession, root: str, whole_up_to: int = WHOLE_UP_TO) -> DataFrame:
+    """Path, size and SHA-256 of the files under a folder.
+
+    Files of at most ``whole_up_to`` bytes are read and hashed by Spark's binary file source; the bound is a filter that
+    reaches that source, so it opens no other file. Larger ones, which would not fit a value, are spread by path and read
+    in chunks inside the tasks; only their paths go through the shuffle. Spark's file listing leaves empty files out, so
+    an empty file has no fingerprint and ``refused_files`` reports it.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
-    hashed = files.select("path").repartition("path").mapInPandas(_hash_files, "path string, file_size_bytes long, sha256 string")
-    return hashed.withColumn("accepted", F.col("file_size_bytes") > 0)
+    small = files.where(F.col("length") <= whole_up_to)
+    whole = small.select("path", F.col("length").alias("file_size_bytes"), F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > whole_up_to).select("path")
+    chunked = large.repartition("path").mapInPandas(_hash_files, "path string, file_size_bytes long, sha256 string")
+    return whole.unionByName(chunked).withColumn("accepted", F.col("file_size_bytes") > 0)
 
 
 def refused_files(expected: DataFrame, prints: DataFrame, path: str = "path") -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import logging
+import uuid
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fareloom.functions.dates import in_months
@@ -42,6 +43,34 @@ def build_serving_tables(tables: dict[str, DataFrame], path: str) -> dict[str, i
     return counts
 
 
+def serve_tables(spark: SparkSession, tables: dict[str, DataFrame], database: str, root: str) -> dict[str, int]:
+    """Create or replace tables of the session's catalog, to be read as ``database.name``, and return their row counts.
+
+    Each build writes a folder of its own below ``root`` and then names it as the table's location, so a query that has
+    begun goes on with the old rows, and a build that fails leaves the table as it was. A table of other columns or types
+    is dropped and created anew. Folders of earlier builds stay until the caller removes them.
+    """
+    root = root.rstrip("/")
+    spark.sql(f"create database if not exists `{database}` location {_quoted(root)}")
+    counts = {}
+    for name, df in tables.items():
+        folder, seen = f"{root}/{name}/{uuid.uuid4().hex}", Observation(f"serve_{name}")
+        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(folder)
+        full = f"`{database}`.`{name}`"
+        if spark.catalog.tableExists(full) and spark.table(full).dtypes == df.dtypes:
+            spark.sql(f"alter table {full} set location {_quoted(folder)}")
+            spark.catalog.refreshTable(full)
+        else:
+            spark.sql(f"drop table if exists {full}")
+            spark.catalog.createTable(full, path=folder, source="parquet", schema=df.schema)
+        counts[name] = seen.get["rows"]
+    return counts
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def land_feed(raw: DataFrame, root: str, spec: FeedSpec) -> int:
     """Write a feed in the monthly landing layout, leaving months that have landed alone; returns the rows written.
 

@@ -1,3 +1,4 @@
+import hashlib
 import json
 from datetime import date
 
@@ -496,6 +497,35 @@ def test_exports_and_serving_tables(spark, tmp_path):
     assert sinks.build_serving_tables({"one": df.limit(1)}, str(tmp_path / "serve")) == {"one": 1}
 
 
+def test_serving_tables_are_replaced_behind_their_names(spark, tmp_path):
+    root = str(tmp_path / "it's here")
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, tag string")
+    assert sinks.serve_tables(spark, {"one": df, "two": df.limit(0)}, "bi_test", root) == {"one": 2, "two": 0}
+    before = spark.table("bi_test.one")
+    assert sinks.serve_tables(spark, {"one": df.where("id = 2")}, "bi_test", root) == {"one": 1}
+    assert [tuple(r) for r in spark.sql("select * from bi_test.one").collect()] == [(2, None)]
+    # what was resolved before goes on with the rows it found, and the other table is as it was
+    assert before.count() == 2 and spark.table("bi_test.two").count() == 0
+    sinks.serve_tables(spark, {"one": df.select(F.col("id").cast("long").alias("key"))}, "bi_test", root)
+    assert spark.table("bi_test.one").dtypes == [("key", "bigint")] and spark.table("bi_test.one").count() == 2
+    broken = df.select(F.raise_error(F.lit("no rows today")).cast("long").alias("key"))
+    with pytest.raises(Exception, match="no rows today"):
+        sinks.serve_tables(spark, {"one": broken}, "bi_test", root)
+    assert spark.table("bi_test.one").count() == 2
+    spark.sql("drop database bi_test cascade")
+
+
+def test_small_and_large_files_have_the_same_fingerprints(spark, tmp_path):
+    for i, size in enumerate((1, 1000, 3 << 20)):
+        (tmp_path / f"f{i}.bin").write_bytes(bytes(range(256)) * (size // 256) + b"x" * (size % 256))
+    want = {(f"f{i}.bin", p.stat().st_size, hashlib.sha256(p.read_bytes()).hexdigest()) for i, p in enumerate(sorted(tmp_path.glob("*.bin")))}
+    for bound in (0, 1000, 1 << 30):
+        found = ingest.file_fingerprints(spark, str(tmp_path), bound)
+        assert {(r.path.rsplit("/", 1)[1], r.file_size_bytes, r.sha256) for r in found.collect()} == want
+    plan = ingest.file_fingerprints(spark, str(tmp_path), 1000)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(length,1000)" in plan and "GreaterThan(length,1000)" in plan
+
+
 def test_audit_keeps_no_result_rows_and_never_fails_the_query(spark, tmp_path):
     asked = spark.createDataFrame([("t", "success", "q", 5, [1, 2])], "timestamp string, status string, question string, execution_ms long, rows array<int>")
     assert sinks.append_audit(asked, f"{tmp_path}/audit") and sinks.append_audit(asked, f"{tmp_path}/audit")
