@@ -182,7 +182,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     """(draw, label, text, doc_id) of a bounded sample of the labelled rows where ``train`` holds.
 
     Only the labels are counted and drawn from; a document's text is read where its label was drawn. At most about
-    ``2 * rows_each`` labels are broadcast.
+    ``2 * rows_each`` labels are broadcast. Labels other than 0 and 1 and those without an id are left out, repeated ones
+    count once, and a document with both labels may be drawn for each. A document with several rows gives each of them;
+    a null text stays null.
     """
     known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(train & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).distinct()
     drawn = bounded_sample(known, "label", rows_each, F.col("doc_id"))
@@ -191,8 +193,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
 
 
 def learn(docs: DataFrame, labels: DataFrame, train: Column, rows_each: int = ROWS_EACH) -> QualityModel:
+    """The classifier from the labelled rows where ``train`` holds.
+
+    One row of each drawn document and label is learned from, of several with the same id the text with the smallest
+    hash, so the fit task holds no more rows than the sample bounds. A document with both labels teaches both. A null text
+    is an empty one. Without labels, without documents or with labels of one class see ``fit``.
+    """
     sample = labelled_sample(docs, labels, "quality", train, rows_each)
-    rows = sample.mapInArrow(_feature_rows, "draw long, label int, numbers binary")
+    sample = sample.groupBy("doc_id", "draw", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    rows = sample.select("draw", "label", "text").mapInArrow(_feature_rows, "draw long, label int, numbers binary")
     row = rows.repartition(1).mapInArrow(_fit_task, "weights binary, squares binary, figures array<double>").first()
     if row is None:
         return fit([], np.zeros(0, bool), np.zeros(0, bool))

@@ -1,17 +1,20 @@
 """Operators against plain versions, and on awkward rows: nulls, empty and long texts, ties, repeats, clashing columns."""
 
 import math
+import random
+import re
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from fareloom.llm import exact_dedup, language_id, lm_scoring, mixing, packing, quality, registered, search, simhash_dedup, token_counts, toxicity
-from fareloom.llm.common import bounded_sample, remainder
+from fareloom.llm.common import SpanHasher, bounded_sample, remainder, text_buffer
 from fareloom.llm.tokens import TokenIds
 
 LONG = " ".join(f"wort{i % 700}" for i in range(9000))
@@ -246,6 +249,86 @@ def test_hinge_model_separates():
     assert ((scores >= 0.5) == good).mean() > 0.97
 
 
+def _plain_features(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    low = [w.translate({i: i + 32 for i in range(65, 91)}) for w in words]
+    shapes = []
+    for i, w in enumerate(words):
+        kinds = ["A" if "A" <= c <= "Z" else "a" if "a" <= c <= "z" or ord(c) > 127 else "0" if "0" <= c <= "9" else c for c in w]
+        shapes.append(("".join(k for k, before in zip(kinds, [None, *kinds]) if k != before), i > 0 and low[i] == low[i - 1]))
+    return {(f, *keys[i : i + n]) for f, (keys, n) in enumerate(((low, 1), (low, 2), (shapes, 1), (shapes, 2), (shapes, 3))) for i in range(len(keys) - n + 1)}
+
+
+def test_quality_model_against_a_plain_one():
+    draw = random.Random(11)
+    words = ["Tea", "tea", "cup", "cup", "7up", "x-y", "über", "NOW!!", "the", "of", "2024"]
+    texts = [" ".join(draw.choices(words[: 8 if i % 3 else 11], k=draw.randint(0, 25))) for i in range(60)]
+    good, aside = np.arange(60) % 3 > 0, np.arange(60) % 5 == 4
+    sets = [_plain_features(t) for t in texts]
+    data, offsets = text_buffer(pa.array(texts, pa.large_string()))
+    numbers, sizes = quality.features(data, offsets, SpanHasher())
+    edges = np.concatenate(([0], np.cumsum(sizes)))
+    rows = [numbers[a:b] for a, b in zip(edges[:-1], edges[1:])]
+    assert [len(s) for s in sets] == list(sizes) and len(set().union(*sets)) == len(set(numbers.tolist()))
+    model = quality.fit(rows, good, aside)
+
+    own = [i for i in range(60) if not aside[i]]
+    held = [Counter(f for i in own if good[i] == label for f in sets[i]) for label in (False, True)]
+    mass = [2**quality.BUCKET_BITS + sum(c.values()) for c in held]
+    ratio = {f: math.log((held[1][f] + 1) / mass[1]) - math.log((held[0][f] + 1) / mass[0]) for f in set().union(*sets)}
+
+    def vector(s):
+        norm = math.sqrt(sum(ratio[f] ** 2 for f in s))
+        return {f: ratio[f] / max(norm, 1e-9) for f in s}
+
+    vectors, signs = [vector(s) for s in sets], [1 if g else -1 for g in good]
+    share = {sign: sum(signs[i] == sign for i in own) for sign in (1, -1)}
+    bound = {i: quality.COST * len(own) / (2 * share[signs[i]]) for i in own}
+    weights, bias, alphas, order = defaultdict(float), 0.0, dict.fromkeys(own, 0.0), np.random.default_rng(7)
+
+    def margin(i):
+        return sum(weights[f] * v for f, v in vectors[i].items()) + bias
+
+    for _ in range(quality.PASSES):
+        for i in (own[k] for k in order.permutation(len(own))):
+            length = sum(v * v for v in vectors[i].values()) + 1
+            new = min(max(alphas[i] - (signs[i] * margin(i) - 1) / length, 0.0), bound[i])
+            step, alphas[i] = (new - alphas[i]) * signs[i], new
+            bias += step
+            for f, v in vectors[i].items():
+                weights[f] += step * v
+    got = model.margins(numbers, sizes)
+    assert np.allclose(got, [margin(i) for i in range(60)], rtol=1e-4, atol=1e-4)
+
+    # the descent has come near the least hinge loss: primal and dual values meet
+    square = (sum(w * w for w in weights.values()) + bias * bias) / 2
+    primal = square + sum(bound[i] * max(0.0, 1 - signs[i] * margin(i)) for i in own)
+    dual = sum(alphas.values()) - square
+    assert 0 <= primal - dual < 0.05 * primal
+
+    # no other sigmoid near by fits the rows set aside better
+    n1, n0 = int(good[aside].sum()), int((~good[aside]).sum())
+    targets = np.where(good[aside], (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
+
+    def loss(slope, shift):
+        p = 1 / (1 + np.exp(-(slope * got[aside] + shift)))
+        return -(targets * np.log(p) + (1 - targets) * np.log(1 - p)).sum() + 5e-4 * (slope - 1) ** 2
+
+    least = loss(model.slope, model.shift)
+    assert all(loss(model.slope + a, model.shift + b) >= least - 1e-9 for a in (-0.05, 0, 0.05) for b in (-0.05, 0, 0.05))
+
+
+def test_quality_learns_from_one_row_of_each_document(spark, monkeypatch):
+    rows = [(i, f"{'Fine' if i % 2 else 'poor'} words {i}") for i in range(40)] + [(1, f"Fine words again {i}") for i in range(500)] + [(2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(3, 1), (5, 0), (6, 7), (None, 1)], "doc_id long, quality int")
+    model = quality.learn(docs, labels, F.lit(True))
+    once = docs.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    again = quality.learn(once, labels, F.lit(True))
+    assert model.constant is None and np.array_equal(again.weights, model.weights) and again.shift == model.shift
+    assert quality.scored(docs, model).count() == 541
+
+
 @pytest.mark.parametrize("number, label, least", [("op7_quality", "quality", 0.95), ("op10_toxicity", "toxic", 0.93)])
 def test_held_out_accuracy(spark, number, label, least):
     folder = "/root/testdata/sf0.1"

@@ -2,7 +2,9 @@
 
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+import tokenizers
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -72,10 +74,39 @@ def test_stages(spark, small):
     )
 
 
+def _plain_ids(text):
+    return [*tokenizers.Tokenizer.from_file(registered.vocabulary("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids, 0]
+
+
 def test_run_with_nulls_repeats_and_no_rows(spark, tmp_path):
-    rows = [(1, None, None, None, None), (2, "", "en", "a", 0), (3, "a b c d " * 30, "en", "a", 240), (3, "a b c d " * 30, "en", "a", 240), (None, "d e", None, None, 3)]
+    copy = "a b c d " * 30
+    rows = [
+        (1, None, None, None, None), (2, "", "en", "a", 0), (3, copy, "en", "a", 240), (3, copy, "en", "a", 240),
+        (4, copy.replace(" ", "  "), "en", "b", 480), (None, "d e", None, None, 3), (5, "one two three", "en", "b", 13),
+    ]
+    # no label: none is rejected; of the four empty or repeated texts one each stays, of the copies the longest
+    mixed_words = {}
     for name, data in (("some", rows), ("none", [])):
         folder = str(tmp_path / name)
         spark.createDataFrame(data, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
         spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
-        assert corpus_pipeline.run(spark, folder).count() >= len(data[:1])
+        docs, kept = documents(spark, folder), {}
+        for stage, function in corpus_pipeline.STAGES[:-1]:
+            docs = stored(function(spark, docs, folder), stage)
+            kept[stage] = docs.collect()
+        got = corpus_pipeline.run(spark, folder).collect()
+        want = [(r.doc_id, tuple(_plain_ids(r.text))) for r in kept["mixing"]]
+        pieces = defaultdict(list)
+        for r in got:
+            pieces[r.doc_id] += np.frombuffer(r.ids, "<u4").tolist()
+        assert {k: Counter(v) for k, v in pieces.items()} == {k: sum((Counter(ids) for d, ids in want if d == k), Counter()) for k, _ in want}
+        mixed_words[name] = Counter()
+        for r in kept["mixing"]:
+            mixed_words[name][r.source] += len(r.text.split())
+        if data:
+            assert sorted((r.doc_id or 0, r.text or "") for r in kept["quality"]) == sorted((r[0] or 0, r[1] or "") for r in rows)
+            alive = [(1, None), (4, copy.replace(" ", "  ")), (5, "one two three"), (None, "d e")]
+            assert Counter((r.doc_id, r.text) for r in kept["exact_dedup"]) == Counter(alive)
+            assert Counter((r.doc_id, r.text) for r in kept["simhash_dedup"]) == Counter(alive)
+    # sources b and null hold 123 and 2 words and weigh 1 and 2; null stops at three times its size; a block has 16 words
+    assert not mixed_words["none"] and abs(mixed_words["some"][None] - 6) <= 16 and abs(mixed_words["some"]["b"] - 119) <= 16
