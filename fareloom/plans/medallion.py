@@ -36,7 +36,6 @@ class StoredWarehouse(Warehouse):
 
     def build_silver(self, months: list[tuple[int, int]] | None = None) -> None:
         """Rebuild silver, or only the given source months, leaving the others untouched."""
-        # Bronze lies in the same month directories, so neither way shuffles.
         plan = self.silver_plan
         self._store("silver", plan if months is None else plan.where(in_months(months)), plan.columns, months, ("pickup_date",))
 
@@ -58,7 +57,7 @@ class StoredWarehouse(Warehouse):
     def _store(self, name: str, plan: DataFrame, columns: list[str], months: list[tuple[int, int]] | None = None, order: tuple[str, ...] = ()) -> None:
         table = self.stored(name)
         replaced = None if months is None else [(str(y), str(m)) for y, m in months]
-        table.commit(plan, replaced, order, rebalance=name != "silver" and name in MONTHLY)
+        table.commit(plan, replaced, order, rebalance=name in MONTHLY)
         found = table.read()
         self.__dict__[name] = (plan.limit(0) if found is None else found).select(*columns)
 
