@@ -57,7 +57,7 @@ def rebuild_touched_months(
     def one_batch(batch: DataFrame, _: int) -> None:
         touched = [(r[0], r[1]) for r in batch.select(*MONTH).distinct().collect()]
         if touched:
-            replace_partitions(rebuild(touched), path, MONTH, touched, ("pickup_date",), rebalance=False)
+            replace_partitions(rebuild(touched), path, MONTH, touched, ("pickup_date",))
 
     return changes.writeStream.foreachBatch(one_batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
