@@ -183,7 +183,7 @@ def has_columns(table: CatalogTable | None, columns: set[str]) -> bool:
 
 
 def name_differences(models: DataFrame, cataloged: DataFrame, name: str = "name") -> DataFrame:
-    """Names on one side only. Both sides are tables with a ``name`` column."""
-    left = models.select(name).distinct().join(cataloged.select(name), name, "left_anti")
-    right = cataloged.select(name).distinct().join(models.select(name), name, "left_anti")
+    """Names on one side only. Both sides are tables with a ``name`` column; each name is moved once a task, however often it occurs."""
+    modelled, listed = models.select(name).distinct(), cataloged.select(name).distinct()
+    left, right = modelled.join(listed, name, "left_anti"), listed.join(modelled, name, "left_anti")
     return left.withColumn("missing_from", F.lit("catalog")).unionByName(right.withColumn("missing_from", F.lit("models")))
