@@ -178,6 +178,11 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.binary())], names=["draw", "label", "numbers"])
 
 
+def known_labels(labels: DataFrame, label: str, train: Column) -> DataFrame:
+    """(doc_id, label): the labels 0 and 1 of documents where ``train`` holds, each once."""
+    return labels.select("doc_id", F.col(label).cast("int").alias("label")).where(train & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).distinct()
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, rows_each: int) -> DataFrame:
     """(draw, label, text, doc_id) of a bounded sample of the labelled rows where ``train`` holds.
 
@@ -186,8 +191,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     count once, and a document with both labels may be drawn for each. A document with several rows gives each of them;
     a null text stays null.
     """
-    known = labels.select("doc_id", F.col(label).cast("int").alias("label")).where(train & F.col("doc_id").isNotNull() & F.col("label").isin(0, 1)).distinct()
-    drawn = bounded_sample(known, "label", rows_each, F.col("doc_id"))
+    drawn = bounded_sample(known_labels(labels, label, train), "label", rows_each, F.col("doc_id"))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     return texts.join(F.broadcast(drawn), "doc_id").select(F.pmod(F.xxhash64("doc_id", F.lit("aside")), F.lit(1 << 30)).alias("draw"), "label", "text", "doc_id")
 
