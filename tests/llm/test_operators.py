@@ -388,6 +388,29 @@ def test_search_matches_brute_force(docs, shard_text, query_bytes):
     assert 3 not in got
 
 
+@pytest.mark.parametrize("cells", [0, 2000, 4 << 20])
+def test_a_shard_is_narrow_and_scored_in_groups(monkeypatch, cells):
+    """Two bytes for a posting's document and for its times; as many common terms by document as fit change no result."""
+    monkeypatch.setattr(search, "COMMON_CELLS", cells)
+    draw, n = np.random.default_rng(7), 300
+    texts = [" ".join(f"w{min(w, 400)}" for w in draw.zipf(1.4, draw.integers(0, 60))) for _ in range(n - 20)]
+    texts += texts[:20]
+    rows = pa.table({"doc_id": list(range(n)), "text": texts, "row": [0] * n})
+    built = search._build((pa.scalar(0),), rows)
+    arrays = search._arrays(built)
+    assert len(built["docs"][0].as_py()) == 2 * len(arrays["docs"]) == len(built["times"][0].as_py())
+    keys, df = arrays["terms"], np.diff(arrays["firsts"])
+    idf, mean = np.log1p((n - df + 0.5) / (df + 0.5)), arrays["lengths"].mean()
+    weights = np.zeros((n, len(keys)))
+    times = arrays["times"].astype(float)
+    weights[arrays["docs"], np.repeat(np.arange(len(keys)), df)] = times * 2.2 / (times + 1.2 * (0.25 + 0.75 * arrays["lengths"][arrays["docs"]] / mean))
+    queries = [np.sort(draw.choice(len(keys), size, replace=False)) for size in (0, 1, 5, 40, len(keys))]
+    for q, (docs, scores) in zip(queries, search.ShardIndex(n, arrays, mean, keys, idf).search(queries, 10)):
+        want = weights[:, q] @ idf[q]
+        order = [d for d in np.lexsort((np.arange(n), -np.round(want, 9))) if want[d] > 0][:10]
+        assert docs.tolist() == order and np.allclose(scores, want[order])
+
+
 def test_empty_tables(spark, docs, labels):
     none = docs.where("false")
     path, pieces = registered.vocabulary("byte_bpe_50k.json"), registered.vocabulary("piece_bpe_32k.model")
