@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from contextlib import nullcontext
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from fareloom.functions.dates import in_months
 from fareloom.functions.text import run_document_key
 from fareloom.sources.documents import audit_events
 from fareloom.sources.feeds import MONTH_KEYS, FeedSpec, feed_folder, register, register_months
+from fareloom.workspace import open_folders
 
 log = logging.getLogger(__name__)
 
@@ -71,11 +73,12 @@ def _quoted(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def land_feed(raw: DataFrame, root: str, spec: FeedSpec) -> int:
+def land_feed(raw: DataFrame, root: str, spec: FeedSpec, rebalance: bool = True) -> int:
     """Write a feed in the monthly landing layout, leaving months that have landed alone; returns the rows written.
 
     A month has landed once it is in the register, which is extended after its files are complete. What a failed landing
     left of a month is replaced by the next one. Months that are there before the feed has a register are entered first.
+    Rows are dealt out by month; ``raw`` that lies in month folders itself goes without that shuffle.
     """
     spark = raw.sparkSession
     if not register(spark, root, spec).versions():
@@ -86,9 +89,11 @@ def land_feed(raw: DataFrame, root: str, spec: FeedSpec) -> int:
     fresh = raw.where(~in_months(held, *MONTH_KEYS)) if held else raw
     seen = Observation(f"land_{spec.dataset}")
     folders = F.collect_set(F.concat_ws("/", *(F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in MONTH_KEYS)))
-    written = fresh.hint("rebalance", *MONTH_KEYS).observe(seen, F.count(F.lit(1)).alias("rows"), folders.alias("folders"))
+    dealt = fresh.hint("rebalance", *MONTH_KEYS) if rebalance else fresh
+    written = dealt.observe(seen, F.count(F.lit(1)).alias("rows"), folders.alias("folders"))
     writer = written.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*MONTH_KEYS)
-    writer.parquet(feed_folder(root, spec))
+    with nullcontext() if rebalance else open_folders(spark):
+        writer.parquet(feed_folder(root, spec))
     if seen.get["rows"]:
         table.replace_list([*entries, *((name, "", fresh.schema.json()) for name in sorted(seen.get["folders"]))], known)
     return seen.get["rows"]

@@ -324,8 +324,9 @@ def governed_queries() -> dict[str, Query]:
 
 
 def _land(wh: Warehouse, root: str, rows: Column) -> None:
+    """Land some months of bronze, which lies in month folders, as they lie."""
     for spec in FEEDS:
-        land_feed(wh.bronze[spec].drop("service_type").where(rows), root, spec)
+        land_feed(wh.bronze[spec].drop("service_type").where(rows), root, spec, rebalance=False)
 
 
 def _update_kpis(wh: Warehouse, root: str, out: str, state: str, **bounds) -> None:

@@ -2,10 +2,12 @@
 
 from pyspark.sql import functions as F
 
+import registered_control
 from fareloom.plans.catalog import name_differences
 from fareloom.plans.medallion import StoredWarehouse
 from fareloom.plans.warehouse import Warehouse
-from fareloom.sources.feeds import GREEN, YELLOW
+from fareloom.sources.feeds import GREEN, YELLOW, feed_folder
+from fareloom.sources.sinks import land_feed
 from fareloom.streaming import incremental
 from fareloom.workspace import replace_partitions
 
@@ -66,6 +68,27 @@ def test_touched_months_are_dealt_out_by_month(spark, tmp_path, monkeypatch):
     assert dealt == [True] and spark.read.parquet(f"{tmp_path}/out").count() == 60_000
 
 
+def test_month_folders_land_as_they_lie(spark, tmp_path):
+    """Eight files of a month stay eight, as no shuffle brings them together; months beyond the open folders land too."""
+    raw = _scattered_month(spark, f"{tmp_path}/bronze").bronze[YELLOW].drop("service_type")
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    assert land_feed(raw, f"{tmp_path}/landing", YELLOW, rebalance=False) == 60_000
+    assert _files_and_rows(spark.read.parquet(feed_folder(f"{tmp_path}/landing", YELLOW))) == (8, 60_000)
+    many = raw.withColumn("month", (F.col("PULocationID") * 20 + F.col("DOLocationID")).cast("int"))
+    assert land_feed(many, f"{tmp_path}/many", YELLOW, rebalance=False) == 60_000
+    got = {r[0]: r[1] for r in spark.read.parquet(feed_folder(f"{tmp_path}/many", YELLOW)).groupBy("month").count().collect()}
+    assert got == {r[0]: r[1] for r in many.groupBy("month").count().collect()} and len(got) > 32
+    assert spark.conf.get(name) == before
+
+
+def test_streams_land_without_a_shuffle(spark, tmp_path, monkeypatch):
+    dealt = []
+    monkeypatch.setattr(registered_control, "land_feed", lambda *args, rebalance=True: dealt.append(rebalance))
+    registered_control._land(_scattered_month(spark, f"{tmp_path}/bronze"), f"{tmp_path}/landing", F.lit(True))
+    assert dealt == [False, False]
+
+
 def test_names_are_made_distinct_before_they_meet(spark):
     models = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "name string")
     listed = spark.createDataFrame([("b",), ("c",), ("c",), (None,)], "name string")
