@@ -26,7 +26,7 @@ from fareloom.sources.documents import read_audit_log
 from fareloom.sources.feeds import FEEDS, MONTH_KEYS, feed_folder, scan_feed, unify_feeds
 from fareloom.sources.sinks import append_audit, land_feed
 from fareloom.streaming import incremental
-from fareloom.workspace import scratch_path
+from fareloom.workspace import open_folders, scratch_path
 
 H1 = DateWindow.first_half(1998)
 Query = Callable[[SparkSession, str], DataFrame]
@@ -353,7 +353,8 @@ def _closed_days(wh: Warehouse) -> DataFrame:
         _update_kpis(wh, root, out, state, delay="30 days")
     for spec in FEEDS:
         late = wh.bronze[spec].drop("service_type").where("passenger_count = 1")
-        late.write.mode("append").partitionBy(*MONTH_KEYS).parquet(feed_folder(root, spec))
+        with open_folders(wh.spark):
+            late.write.mode("append").partitionBy(*MONTH_KEYS).parquet(feed_folder(root, spec))
     _update_kpis(wh, root, out, state, delay="30 days")
     return incremental.read_updates(wh.spark, out)
 
