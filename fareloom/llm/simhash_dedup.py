@@ -6,7 +6,8 @@ variant are within 2 bits of each other, and there are at most 65 of them; each
 the same documents as all pairs would. Links are verified by their bit distance and made distinct.
 
 Equal fingerprints are one fingerprint from the start, so a group of copies of any size is one row in all of this.
-Components are found by alternating large-star and small-star steps over the links, each written to the shared folder.
+Tasks first turn the links they hold into stars, at most ``LINKS_EACH`` in a task; what then remains beyond that number goes
+through alternating large-star and small-star steps, each written to the shared folder.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from fareloom.llm.common import ROW_KEY, stored, with_row_key
 SHINGLE_WORDS = 3
 SEED = 42
 MOST_STEPS = 60
+LINKS_EACH = 1 << 20
 
 
 def fingerprint(text: bytes, words_each: int = SHINGLE_WORDS, held: int = 1 << 16) -> int:
@@ -78,11 +80,48 @@ def _close_pairs(variants: DataFrame, bits: int) -> DataFrame:
     return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("print"))) <= bits).select("a", F.col("print").alias("b")).distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for every node of ``edges`` (a, b): the smallest node of its component."""
+def _stars(most: int):
+    """Links as stars, ``most`` at a time: every node of those beside the smallest that they lead to."""
+
+    def stars(held: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        nodes, at = np.unique(np.concatenate(held, axis=1), return_inverse=True)
+        (a, b), least = at.reshape(2, -1), np.arange(len(nodes))
+        while (least[a] != least[b]).any():
+            np.minimum.at(least, np.maximum(least[a], least[b]), np.minimum(least[a], least[b]))
+            while (least[least] != least).any():
+                least = least[least]
+        for i in range(0, len(nodes), 1 << 16):
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[i : i + (1 << 16)]), pa.array(nodes[least[i : i + (1 << 16)]])], names=["u", "v"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for first in range(0, batch.num_rows, most):
+                part = batch.slice(first, most)
+                if size + part.num_rows > most:
+                    yield from stars(held)
+                    held, size = [], 0
+                held.append(np.stack([part.column(i).to_numpy() for i in (0, 1)]))
+                size += part.num_rows
+        if held:
+            yield from stars(held)
+
+    return run
+
+
+def components(edges: DataFrame, links_each: int = LINKS_EACH) -> DataFrame:
+    """(node, root) for every node of ``edges`` (a, b): the smallest node of its component.
+
+    Tasks first turn their links into stars, at most ``links_each`` at a time. As many are done by then; more go through
+    large-star and small-star steps until they are settled or so few.
+    """
     edges, before = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")), "links"), None
+    if edges.count() > links_each:
+        edges = stored(edges.mapInArrow(_stars(links_each), "u long, v long").where(F.col("u") != F.col("v")).distinct(), "stars")
     for step in range(MOST_STEPS):
         state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if state[0] <= links_each:
+            return stored(edges.coalesce(1).mapInArrow(_stars(links_each), "u long, v long"), "roots").select(F.col("u").alias("node"), F.col("v").alias("root"))
         if state == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
         before = state

@@ -180,6 +180,25 @@ def test_simhash_links_match_brute_force(spark):
         assert {p: got.get(p, p) for p in prints} == {p: find(p) for p in prints}
 
 
+def _chain(spark, parts):
+    """A path of 300 nodes, a star and a pair, in several partitions."""
+    draw = np.random.default_rng(5)
+    path = draw.permutation(np.arange(-150, 150)).tolist()
+    pairs = [*zip(path, path[1:]), *((1000, 1000 + i) for i in range(1, 40)), (2**62, -(2**63))]
+    return spark.createDataFrame([(min(p), max(p)) for p in pairs], "a long, b long").repartition(parts)
+
+
+@pytest.mark.parametrize("links_each, parts", [(1 << 20, 5), (50, 5)])
+def test_components_of_long_chains(spark, monkeypatch, links_each, parts):
+    """Few links take no step of their own; more than a task holds meet in steps."""
+    names, stored = [], simhash_dedup.stored
+    monkeypatch.setattr(simhash_dedup, "stored", lambda df, name: names.append(name) or stored(df, name))
+    got = {r.node: r.root for r in simhash_dedup.components(_chain(spark, parts), links_each).collect()}
+    want = {i: -150 for i in range(-150, 150)} | {1000 + i: 1000 for i in range(40)} | {2**62: -(2**63), -(2**63): -(2**63)}
+    assert got == want
+    assert (names == ["links", "roots"]) == (links_each > 350)
+
+
 def test_packing_round_trip(docs):
     path = registered.vocabulary("byte_bpe_50k.json")
     rows = packing.packed(docs, path).collect()
