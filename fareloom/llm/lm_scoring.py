@@ -165,13 +165,21 @@ def _histories(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return before
 
 
-def _classes(before: np.ndarray, head_keys: np.ndarray, head_levels: np.ndarray) -> np.ndarray:
-    classes = np.zeros(len(before), np.uint64)
+def _classes(words: np.ndarray, head_keys: np.ndarray, head_levels: np.ndarray) -> np.ndarray:
+    classes = np.zeros(len(words), np.uint64)
     if len(head_keys):
-        at = np.minimum(np.searchsorted(head_keys, before), len(head_keys) - 1)
-        hit = head_keys[at] == before
+        at = np.minimum(np.searchsorted(head_keys, words), len(head_keys) - 1)
+        hit = head_keys[at] == words
         classes[hit] = np.minimum(head_levels[at[hit]], _BEGIN_CLASS - 1)
-    classes[before == BEGIN] = _BEGIN_CLASS
+    classes[words == BEGIN] = _BEGIN_CLASS
+    return classes
+
+
+def _history_classes(words: np.ndarray, at: np.ndarray, counts: np.ndarray, head_keys: np.ndarray, head_levels: np.ndarray) -> np.ndarray:
+    """Class of each token's history; the head is searched once for each of the different ``words``, in their order."""
+    classes = np.empty(len(at), np.uint64)
+    classes[1:] = _classes(words, head_keys, head_levels)[at[:-1]]
+    classes[np.cumsum(counts) - counts] = _BEGIN_CLASS
     return classes
 
 
@@ -328,8 +336,8 @@ def train(texts: DataFrame, head_words: int = HEAD_WORDS, per_entry: int = BITS_
     shared = texts.sparkSession.sparkContext.broadcast((keys, level_of(head_counts)))
 
     def pair_keys(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        before = _histories(tokens, counts)
-        return _pair_keys(before, tokens, _classes(before, *shared.value))
+        words, at = np.unique(tokens, return_inverse=True)
+        return _pair_keys(_histories(tokens, counts), tokens, _history_classes(words, at, counts, *shared.value))
 
     pairs = stored(
         texts.mapInArrow(_counting(bits, pair_keys), _COUNTS_SCHEMA)
@@ -410,9 +418,8 @@ class _Piece:
         self.counts = np.frombuffer(counts, "<u4").astype(np.int64)
         self.words, self.at = np.frombuffer(words, "<u8"), np.frombuffer(at, "<u4")
         self.tokens = self.words[self.at]
-        before = _histories(self.tokens, self.counts)
-        self.classes = _classes(before, head_keys, head_levels)
-        self.pairs = _pair_keys(before, self.tokens, self.classes)
+        self.classes = _history_classes(self.words, self.at, self.counts, head_keys, head_levels)
+        self.pairs = _pair_keys(_histories(self.tokens, self.counts), self.tokens, self.classes)
 
 
 def _split(shared, round_of: dict[str, np.ndarray], bits: int):
@@ -423,7 +430,7 @@ def _split(shared, round_of: dict[str, np.ndarray], bits: int):
             for number, counts, words, at in zip(*(batch.column(c) for c in ("piece", "counts", "words", "at"))):
                 piece = _Piece(counts.as_py(), words.as_py(), at.as_py(), *shared.value)
                 rows = []
-                for kind, keys in zip(_KINDS, (piece.words, np.unique(piece.pairs))):
+                for kind, keys in zip(_KINDS, (piece.words, counted(piece.pairs)[0])):
                     rounds = round_of[kind][(keys >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(keys), np.int64)]
                     edges = np.flatnonzero(np.diff(rounds, prepend=-2, append=-2))
                     rows += [(kind, int(rounds[a]), keys[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:])]

@@ -5,6 +5,8 @@ import random
 import zlib
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,3 +91,24 @@ def test_every_ngram_of_a_piece_falls_to_one_round(spark, rows):
     blocks = [b for r in rounds for b in r]
     assert len(rounds) == len(blocks) == len(set(blocks)) >= 2
     assert lm_scoring.filter_rounds(model, 1 << 30) == [{b: n for r in rounds for b, n in r.items()}]
+
+
+def test_the_head_is_searched_once_for_each_word_of_a_piece(rows, monkeypatch):
+    """Histories have the classes of their own look-up, and no pair is lost."""
+    texts = pa.array([t for _, t in rows], pa.string())
+    (piece,) = lm_scoring._pieces(0, 1 << 30)(iter([pa.RecordBatch.from_arrays([texts], ["text"])]))
+    counts, words, at = (piece.column(c)[0].as_py() for c in ("counts", "words", "at"))
+    keys = np.frombuffer(words, "<u8")
+    head, levels = keys[::3].copy(), np.arange(len(keys[::3])) % 70 + 1
+    searched, classes = [], lm_scoring._classes
+    monkeypatch.setattr(lm_scoring, "_classes", lambda some, *head: searched.append(len(some)) or classes(some, *head))
+    got = lm_scoring._Piece(counts, words, at, head, levels)
+    assert searched == [len(keys)] and len(keys) < len(got.tokens) / 10
+    before = lm_scoring._histories(got.tokens, got.counts)
+    assert (got.classes == classes(before, head, levels)).all() and got.classes.dtype == np.uint64
+    assert (got.pairs == lm_scoring._pair_keys(before, got.tokens, got.classes)).all()
+    split = lm_scoring._split(type("Shared", (), {"value": (head, levels)}), {k: np.zeros(1, np.int64) for k in ("words", "pairs")}, 0)
+    batch = pa.RecordBatch.from_arrays([pa.array([7]), *(pa.array([v], pa.binary()) for v in (counts, words, at))], ["piece", "counts", "words", "at"])
+    (found,) = split(iter([batch]))
+    of = {k.as_py(): np.frombuffer(v.as_py(), "<u8").tolist() for k, v in zip(found.column("kind"), found.column("keys"))}
+    assert of == {"words": keys.tolist(), "pairs": sorted(set(got.pairs.tolist()))}
