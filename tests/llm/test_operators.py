@@ -407,6 +407,27 @@ def test_search_matches_brute_force(docs, shard_text, query_bytes):
     assert 3 not in got
 
 
+def test_search_passes_on_no_more_hits_for_more_shards(spark, monkeypatch):
+    """A task keeps the best of all its shards; equal texts of different shards come by id, null ids last."""
+    rows = [(i if i % 50 else None, f"common w{i % 7} x{i % 90} " * (1 + i % 3)) for i in range(1500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    asked = spark.createDataFrame([(i, f"common w{i} x{i} none") for i in range(5)] + [(5, "unheard"), (6, None)], "query_id long, text string")
+    counts, stored = Counter(), search.stored
+
+    def seen(df, name):
+        out = stored(df, name)
+        counts[name] += out.count()
+        return out
+
+    monkeypatch.setattr(search, "stored", seen)
+    most, batch = 2 * spark.sparkContext.defaultParallelism * 5 * 4, spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    many = search.search(docs, asked, 4, 300).orderBy("query_id", "rank").collect()
+    assert counts["search_index"] > 100 and len(many) <= counts["search_found"] <= most
+    whole = search.search(docs, asked, 4).orderBy("query_id", "rank").collect()
+    assert many == whole and len(whole) == 20
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == batch
+
+
 @pytest.mark.parametrize("cells", [0, 2000, 4 << 20])
 def test_a_shard_is_narrow_and_scored_in_groups(monkeypatch, cells):
     """Two bytes for a posting's document and for its times; as many common terms by document as fit change no result."""
