@@ -428,6 +428,15 @@ def test_search_passes_on_no_more_hits_for_more_shards(spark, monkeypatch):
     assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == batch
 
 
+def test_a_task_counts_a_term_of_all_its_shards_once():
+    shards = [([3, 5, 9], [0, 2, 3, 7]), ([], [0]), ([5, 8], [0, 10, 11])]
+    columns = [pa.array([np.array(v, k).tobytes() for v in c], pa.binary()) for c, k in zip(zip(*shards), ("<u8", "<i8"))]
+    batches = pa.RecordBatch.from_arrays(columns, ["terms", "firsts"])
+    shared = type("Shared", (), {"value": np.array([3, 4, 5, 9, 10], np.uint64)})
+    rows = [r for b in search._frequencies(shared)(iter([batches.slice(0, 2), batches.slice(2)])) for r in b.to_pylist()]
+    assert rows == [{"term": 0, "df": 2}, {"term": 2, "df": 11}, {"term": 3, "df": 4}]
+
+
 @pytest.mark.parametrize("cells", [0, 2000, 4 << 20])
 def test_a_shard_is_narrow_and_scored_in_groups(monkeypatch, cells):
     """Two bytes for a posting's document and for its times; as many common terms by document as fit change no result."""
