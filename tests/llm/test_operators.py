@@ -437,6 +437,24 @@ def test_a_task_counts_a_term_of_all_its_shards_once():
     assert rows == [{"term": 0, "df": 2}, {"term": 2, "df": 11}, {"term": 3, "df": 4}]
 
 
+def test_document_frequencies_reach_the_driver_in_few_rows(spark, monkeypatch):
+    """Neither a row nor a batch of its own for each term of a block, and every term keeps its frequency."""
+    rows = [(i, " ".join(f"w{500 * i + j}" for j in range(1000))) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    fetched = []
+    for name, parts in (("collect", len), ("toArrow", lambda table: table.column(0).num_chunks)):
+        plain = getattr(type(docs), name)
+        monkeypatch.setattr(type(docs), name, lambda df, plain=plain, parts=parts: (out := plain(df), fetched.append(parts(out)))[0])
+    best = search.search(docs, docs.select(F.col("doc_id").alias("query_id"), "text"), 1, 20_000)
+    monkeypatch.undo()
+    assert 20_500 > search.DEALT and sum(fetched) < 20
+    once, twice = math.log1p(39.5 / 1.5), math.log1p(38.5 / 2.5)
+    want = {i: 500 * (once + twice) if i in (0, 39) else 1000 * twice for i in range(40)}
+    got = {r.query_id: r for r in best.collect()}
+    assert {q: r.doc_id for q, r in got.items()} == {i: i for i in range(40)}
+    assert np.allclose([got[i].score for i in range(40)], [want[i] for i in range(40)])
+
+
 @pytest.mark.parametrize("cells", [0, 2000, 4 << 20])
 def test_a_shard_is_narrow_and_scored_in_groups(monkeypatch, cells):
     """Two bytes for a posting's document and for its times; as many common terms by document as fit change no result."""
