@@ -478,6 +478,47 @@ def test_a_shard_is_narrow_and_scored_in_groups(monkeypatch, cells):
         assert docs.tolist() == order and np.allclose(scores, want[order])
 
 
+def test_a_search_visits_windows_of_like_documents_alone():
+    """Documents of eight subjects, mixed by id: a query of one subject leaves the windows of the others unscored, and finds the best."""
+    draw, n, k = np.random.default_rng(5), 4096, 10
+    subject = np.arange(n) * 5 % 8
+    texts = [" ".join(["all", *(f"s{t}w{w}" for w in draw.integers(0, 60, 25)), f"own{i}"]) for i, t in enumerate(subject)]
+    rows = pa.table({"doc_id": list(range(n)), "text": texts, "row": [0] * n})
+    arrays = search._arrays(search._build((pa.scalar(0),), rows))
+    assert sorted(arrays["order"].tolist()) == list(range(n)) and np.count_nonzero(np.diff(subject[arrays["order"]])) < 16
+    keys, df = arrays["terms"], np.diff(arrays["firsts"])
+    idf, mean = np.log1p((n - df + 0.5) / (df + 0.5)), arrays["lengths"].mean()
+    times, owner = arrays["times"].astype(float), np.repeat(np.arange(len(keys)), df)
+    shares = times * 2.2 / (times + 1.2 * (0.25 + 0.75 * arrays["lengths"][arrays["docs"]] / mean)) * idf[owner]
+    index, seen = search.ShardIndex(n, arrays, mean, keys, idf), []
+
+    class Weights:
+        def __init__(self, window, weights):
+            self.window, self.weights = window, weights
+
+        def take(self, *args, **named):
+            seen.append(self.window)
+            return self.weights.take(*args, **named)
+
+    index.windows = [(a, b, c, Weights((a, b), w), t) for a, b, c, w, t in index.windows]
+    queries = [np.unique(owner[arrays["docs"] == i]) for i in np.flatnonzero(subject == 3)[:40]]
+    for q, (docs, scores) in zip(queries, index.search(queries, k)):
+        asked = np.zeros(len(keys), bool)
+        asked[q] = True
+        mine = asked[owner]
+        want = np.bincount(arrays["docs"][mine], shares[mine], n)
+        assert docs.tolist() == np.lexsort((np.arange(n), -np.round(want, 9)))[:k].tolist() and np.allclose(scores, want[docs])
+    assert len(index.windows) >= 32 and 0 < len(seen) <= len(index.windows) // 4
+
+
+def test_queries_of_like_terms_share_a_group():
+    draw, df = np.random.default_rng(6), np.full(400, 30)
+    block = [(i, np.sort(draw.choice(50, 20, replace=False) + i % 8 * 50).astype(np.int32)) for i in range(1024)]
+    ordered = search._like_queries(block, df)
+    assert sorted(r for r, _ in ordered) == list(range(1024)) and all(terms is block[r][1] for r, terms in ordered)
+    assert np.count_nonzero(np.diff([r % 8 for r, _ in ordered])) < 16
+
+
 def test_empty_tables(spark, docs, labels):
     none = docs.where("false")
     path, pieces = registered.vocabulary("byte_bpe_50k.json"), registered.vocabulary("piece_bpe_32k.model")
